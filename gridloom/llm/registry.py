@@ -1,10 +1,14 @@
 """Queries of this subpackage and the SQL that gives the same rows, for the entry file."""
 
 from .packing import op9_packing
+from .quality import op5_quality
+from .simhash import op7_simhash
 from .streamvbyte import op2_token_files
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op5_quality": op5_quality,
+    "op7_simhash": op7_simhash,
     "op9_packing": op9_packing,
 }
 
