@@ -1,5 +1,7 @@
 """Queries of this subpackage and the SQL that gives the same rows, for the entry file."""
 
+from . import mixing
+from .mixing import op3_mixing
 from .packing import op9_packing
 from .quality import op5_quality
 from .simhash import op7_simhash
@@ -7,9 +9,10 @@ from .streamvbyte import op2_token_files
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
     "op7_simhash": op7_simhash,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}

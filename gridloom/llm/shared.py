@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: A table of at most this many narrow rows (some 32 MB) may be broadcast.
@@ -104,15 +103,12 @@ def before(df: DataFrame, keys: list[str], at: str, value: str, most: int, name:
     ``at`` is a long from 0 to ``most``, unique within the keys. Sums are taken over ranges of
     ``fan`` positions, level by level, so that no task gets more than ``fan`` rows of a key.
     """
-    inner = Window.partitionBy(*keys, "_hi").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    out = df.withColumn("_hi", F.floor(F.col(at) / F.lit(fan)).cast("long"))
-    out = out.withColumn(name, F.coalesce(F.sum(value).over(inner), F.lit(0).cast("long")))
+    high, base = f"_high{most}", f"_base{most}"
+    df = df.withColumn(high, F.expr(f"`{at}` div {fan}"))
+    inner = Window.partitionBy(*keys, high).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    out = df.withColumn(name, F.coalesce(F.sum(value).over(inner), F.lit(0).cast("long")))
     if most < fan:
-        return out.drop("_hi")
-    sums = df.withColumn("_hi", F.floor(F.col(at) / F.lit(fan)).cast("long")).groupBy(*keys, "_hi").agg(F.sum(value).alias("_part"))
-    sums = before(sums, keys, "_hi", "_part", most // fan, "_base", fan).select(*keys, "_hi", "_base")
-    return out.join(sums, [*keys, "_hi"]).withColumn(name, F.col(name) + F.col("_base")).drop("_hi", "_base")
-
-
-def long_schema(**columns: str) -> T.StructType:
-    return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in columns.items()])
+        return out.drop(high)
+    sums = df.groupBy(*keys, high).agg(F.sum(value).alias("_part"))
+    sums = before(sums, keys, high, "_part", most // fan, base, fan).select(*keys, high, base)
+    return out.join(sums, [*keys, high]).withColumn(name, F.col(name) + F.col(base)).drop(high, base)
