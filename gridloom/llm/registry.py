@@ -3,6 +3,7 @@
 from . import mixing
 from .mixing import op3_mixing
 from .packing import op9_packing
+from .pii import op6_pii
 from .quality import op5_quality
 from .simhash import op7_simhash
 from .streamvbyte import op2_token_files
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op9_packing": op9_packing,
 }
