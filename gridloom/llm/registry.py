@@ -1,20 +1,24 @@
 """Queries of this subpackage and the SQL that gives the same rows, for the entry file."""
 
-from . import mixing
+from . import mixing, topk
 from .mixing import op3_mixing
 from .packing import op9_packing
 from .pii import op6_pii
 from .quality import op5_quality
 from .simhash import op7_simhash
 from .streamvbyte import op2_token_files
+from .tokencount import op8_token_counts
+from .topk import op1_topk
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE}
