@@ -79,8 +79,8 @@ class Counter:
                     score[end + 1], count[end + 1] = new, count[end + 1 - length] + 1
             return count[n]
         starts: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for end, (length, score) in self.automaton.iter(word):
-            starts[end + 1 - length].append((end + 1, score))  # shorter pieces end first
+        for end, (length, gain) in self.automaton.iter(word):
+            starts[end + 1 - length].append((end + 1, gain))  # shorter pieces end first
         unknown = [False] * (n + 1)
         for i in range(n):
             base, pieces = score[i], count[i]
