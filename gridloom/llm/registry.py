@@ -1,6 +1,6 @@
 """Queries of this subpackage and the SQL that gives the same rows, for the entry file."""
 
-from . import mixing, topk
+from . import mixing, topk, warc
 from .mixing import op3_mixing
 from .packing import op9_packing
 from .pii import op6_pii
@@ -9,11 +9,13 @@ from .simhash import op7_simhash
 from .streamvbyte import op2_token_files
 from .tokencount import op8_token_counts
 from .topk import op1_topk
+from .warc import op4_warc
 
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
@@ -21,4 +23,4 @@ QUERIES = {
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE, "op4_warc": warc.ORACLE}

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .shared import HOT_SHARE, documents, drop, join_skewed, stage, workspace
@@ -189,5 +190,24 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
     return out.select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but one for each group that ``simhash_groups`` finds.
+
+    The row with the group's smallest doc_id stays; among rows of that id, one with the smallest hash of its text. Where
+    a group has no doc_id at all, one text stays. Rows that repeat id and text come down to one.
+    """
+    spark = docs.sparkSession
+    folder = workspace(spark, "near")
+    groups = simhash_groups(docs.select("doc_id", "text"), shingle, radius)
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("?"), "fingerprint"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.coalesce("text_hash", F.lit(0)).alias("hash")))
+    keep = groups.groupBy(group.alias("group")).agg(least.alias("k"), F.count("*").alias("rows"))
+    keep = stage(keep.select(F.coalesce(F.col("k.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("k.hash").alias("_hash")), f"{folder}/keep")
+    id_, hash_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(F.col("text").cast("string"))
+    rows = docs.select(F.struct("*").alias("_row"), id_.alias("_id"), hash_.alias("_hash")).join(keep, ["_id", "_hash"], "left_semi")
+    first = Window.partitionBy("_id", "_hash").orderBy("_id")
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("_row.*")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
