@@ -7,6 +7,7 @@ from .pii import op6_pii
 from .quality import op5_quality
 from .simhash import op7_simhash
 from .streamvbyte import op2_token_files
+from .suffixes import op10_suffixes
 from .tokencount import op8_token_counts
 from .topk import op1_topk
 from .warc import op4_warc
@@ -21,6 +22,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE, "op4_warc": warc.ORACLE}
