@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,3 +83,18 @@ def remove_files(outcomes: DataFrame, folder: str) -> DataFrame:
             yield batch
 
     return outcomes.where("success").select("file_path").mapInArrow(run, "file_path string")
+
+
+def image_content(images: DataFrame, suffix: str = ".png", encode: Callable[[np.ndarray], bytes] = png) -> DataFrame:
+    """(file_path, content) of rows (pdf_name, file_name, height, width, channels, data): the document's folder, the name with a new suffix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                shape = (row["height"], row["width"]) + ((row["channels"],) if row["channels"] > 1 else ())
+                content = encode(np.frombuffer(row["data"], dtype=np.uint8).reshape(shape))
+                path = f"{row['pdf_name']}/{row['file_name'].rpartition('.')[0] or row['file_name']}{suffix}"
+                yield pa.RecordBatch.from_pylist([{"file_path": path, "content": content}])
+
+    return images.select("pdf_name", "file_name", "height", "width", "channels", "data").mapInArrow(run, "file_path string, content binary")

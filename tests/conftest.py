@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

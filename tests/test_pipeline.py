@@ -98,3 +98,17 @@ def test_stream_of_documents(spark, tmp_path):
 
 def test_no_device_here():
     assert device_stats() is None or "free_memory_gb" in device_stats()
+
+
+def test_command_line(spark, tmp_path):
+    from gridloom.__main__ import clean_images, run_query
+
+    card = np.full((60, 80), 255, dtype=np.uint8)
+    card[20:45, 20:60] = 0
+    df = spark.createDataFrame([("d/voter_001.png", bytearray(png(card))), ("d/bad.png", bytearray(b"?"))], "file_path string, content binary")
+    write_named(df, str(tmp_path / "in")).collect()
+    assert clean_images(spark, str(tmp_path / "in"), str(tmp_path / "out"), "*.png", True) == (1, 2)
+    row = s.images(spark, str(tmp_path / "out"), "*.png").first()
+    assert row.file_name == "voter_001.png" and (s.as_image(row.asDict()) == 255).all()
+    run_query(spark, "documents_read", "/root/testdata/sf0.001", str(tmp_path / "q"))
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
