@@ -247,7 +247,7 @@ def _of(kind: str) -> Callable[[Column], Column]:
 
 
 def pseudonymized(docs: DataFrame, key: str = KEY, column: str = "text", counts: bool = True) -> DataFrame:
-    """``docs`` with the values in ``column`` replaced, and with n_<kind> columns (long) if asked for.
+    """``docs`` with the values in ``column`` replaced, and with n_<kind> columns (long) if asked for, in place of any so named.
 
     Null texts stay null with counts 0; other columns stay. Every row is handled by itself, so
     repeated rows come out alike, and an empty table stays empty.
@@ -255,14 +255,17 @@ def pseudonymized(docs: DataFrame, key: str = KEY, column: str = "text", counts:
     text = F.col(column).cast("string")
     pattern = any_pattern()
     found = F.when(F.rlike(text, F.lit("[0-9@]|[A-Fa-f]{32}")), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    rows = docs.withColumn("_found", F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda m: _replaced(m, key)))
+    name = "_found"
+    while name in docs.columns:
+        name += "_"
+    rows = docs.withColumn(name, F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda m: _replaced(m, key)))
     between = F.split(text, pattern, -1)
-    values = F.concat(F.transform("_found", lambda x: x.value), F.array(F.lit("")))
-    new = F.when(F.size("_found") > 0, F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")).otherwise(text)
+    values = F.concat(F.transform(name, lambda x: x.value), F.array(F.lit("")))
+    new = F.when(F.size(name) > 0, F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")).otherwise(text)
     out = rows.withColumn(column, new)
     if counts:
-        out = out.withColumns({f"n_{k}": F.size(F.filter("_found", _of(k))).cast("long") for k in KINDS})
-    return out.drop("_found")
+        out = out.withColumns({f"n_{k}": F.size(F.filter(name, _of(k))).cast("long") for k in KINDS})
+    return out.drop(name)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
