@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -68,14 +68,16 @@ def masks(radius: int, bits: list[int]) -> list[int]:
     return out
 
 
-def _keys(radius: int, level: int, table: Column | None = None) -> list[Column]:
-    """(table, key) for each mask of a level; level 2 covers the bits that level 1's table leaves free."""
+def _keyed(rows: DataFrame, radius: int, level: int) -> DataFrame:
+    """(fp, t, key) of rows (fp) for each table t, or of rows (fp, t, key) for each mask of the bits that table t leaves free."""
     first = masks(radius, list(range(64)))
     if level == 1:
-        return [F.struct(F.lit(i).alias("t"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("key")) for i, m in enumerate(first)]
-    free = [masks(radius, [b for b in range(64) if not m >> b & 1]) for m in first]
-    sub = F.array(*[F.array(*[F.lit(m).cast("long") for m in row]) for row in free])
-    return [F.struct(F.lit(-1).alias("t"), F.xxhash64(F.col("key"), F.lit(j), F.col("fp").bitwiseAND(F.get(F.get(sub, table), F.lit(j)))).alias("key")) for j in range(len(first))]
+        rows = rows.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in first])).alias("t", "mask"))
+        return rows.select("fp", "t", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+    free = [(t, j, m) for t, used in enumerate(first) for j, m in enumerate(masks(radius, [b for b in range(64) if not used >> b & 1]))]
+    table = rows.sparkSession.createDataFrame(free, "t int, j int, mask long")  # a row for each pair of tables
+    rows = rows.join(F.broadcast(table), "t")
+    return rows.select("fp", F.lit(-1).alias("t"), F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
 
 
 def _cluster(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -151,17 +153,16 @@ def links(distinct: DataFrame, radius: int, folder: str) -> DataFrame:
     the sample only chooses the way, never the result) are split before they are shuffled, other large buckets after.
     """
     tables = len(masks(radius, list(range(64))))
-    rows = distinct.select("fp", F.explode(F.array(*_keys(radius, 1))).alias("k")).select("fp", "k.t", "k.key")
+    rows = _keyed(distinct, radius, 1)
     seen = distinct.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(SAMPLE)) == 0)
-    seen = seen.select(F.explode(F.array(*_keys(radius, 1))).alias("k")).groupBy("k.key").count()
+    seen = _keyed(seen, radius, 1).groupBy("key").count()
     most = max(BUCKET, distinct.count() * tables // HOT_SHARE)
     hot = [r.key for r in seen.where(F.col("count") > most // SAMPLE).select("key").limit(SAMPLE * HOT_SHARE).collect()]
     hot = distinct.sparkSession.createDataFrame([(k,) for k in hot], "key long").withColumn("hot", F.lit(True))
     rows = rows.join(F.broadcast(hot), "key", "left")
     first = stage(_buckets(rows.where("hot is null"), radius, last=False), f"{folder}/level-1")
     again = rows.where("hot").select("fp", "t", "key").union(first.where("t >= 0").select(F.col("b").alias("fp"), F.col("t").cast("int"), F.col("a").alias("key")))
-    again = again.select("fp", F.explode(F.array(*_keys(radius, 2, F.col("t")))).alias("k")).select("fp", "k.t", "k.key")
-    second = _buckets(again, radius, last=True)
+    second = _buckets(_keyed(again, radius, 2), radius, last=True)
     return first.where("t < 0").select("a", "b").union(second.select("a", "b"))
 
 
