@@ -81,15 +81,15 @@ def _repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def with_stats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and a struct ``_stats``."""
+def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and a struct ``_stats`` of its column ``text``; rows go in small batches."""
     fields = ", ".join(f"{s}: long" for s in STATS)
     schema = docs.select("*", F.lit(None).cast(f"struct<{fields}>").alias("_stats")).schema
-    at = docs.columns.index("text")
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([(s, pa.int64()) for s in STATS])
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, len(b), 1000)):
             rows = np.array([text_stats(t.as_py()) for t in batch.column(at)], dtype=np.int64).reshape(-1, len(STATS))
             stats = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(STATS))], fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*batch.schema.names, "_stats"])
@@ -262,9 +262,10 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     stats = stage(_keyed(with_stats(text).drop("text")).drop("lang", "source"), f"{folder}/stats")
     fits = fit(stats, folder)
     drop(docs.sparkSession, f"{folder}/stats")
-    packed = docs.select(F.struct("*").alias("_row"), *[F.col(c).cast("string").alias(c) for c in ("lang", "source", "text")])
-    rows = _keyed(with_stats(packed.select("_row", "lang", "source", F.col("_row.text").cast("string").alias("text")))).drop("lang", "source", "text")
-    return judged(rows, fits).where("kept").select("_row.*")
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names that clash with none used here
+    rows = with_stats(docs.toDF(*own.values()), own["text"])
+    rows = rows.withColumns({"lang_key": text_key(own["lang"]), "source_key": text_key(own["source"])})
+    return judged(rows, fits).where("kept").select(*[F.col(c).alias(name) for name, c in own.items()])
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
