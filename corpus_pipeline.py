@@ -8,27 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.mixing import mixed_documents
+from gridloom.llm.near import one_of_near
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.pii import pseudonymized
 from gridloom.llm.quality import kept_documents
 from gridloom.llm.shared import documents, stage, workspace
-from gridloom.llm.simhash import one_per_group
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Bits in which fingerprints of near copies may differ. At sf0.1 about two in five of the pairs that share 80 to 90 % of
-#: their five-word shingles lie within it, and at least 95 % of those that share more.
-NEAR_BITS = 5
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and aren't outliers of their language and source."""
     return kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id."""
-    return one_per_group(docs, radius=NEAR_BITS)
+    """One document of each group linked by four fifths of five-word shingles: the one with the smallest doc_id."""
+    return one_of_near(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
