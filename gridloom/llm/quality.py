@@ -1,10 +1,11 @@
 """Quality rules: base rules, then robust multivariate outliers by minimum covariance determinant.
 
 Each document's statistics are transformed to a vector. For every language and source, concentration
-steps over all of its documents find the covariance of least determinant among three quarters of them: distances
-from the present estimate, the bin of distance that holds the wanted share, and the moments of what lies
-up to it. Moments are sums of integers, so any order of summing gives the same estimate. A document is
-rejected when its Mahalanobis distance exceeds the cutoff.
+steps over all of its documents find the covariance of least determinant among half of them, (n + p + 1) / 2,
+on which the breakdown point of nearly a half rests: distances from the present estimate, the bin of distance that
+holds the wanted number, and the moments of what lies up to it. They go from several starts, of which the one that ends
+in the least determinant counts. Moments are sums of integers, so any order of summing gives the same estimate. A
+document is rejected when its Mahalanobis distance exceeds the cutoff.
 
 Groups with fewer than MIN_ROWS documents are pooled by language, and if that isn't enough, altogether;
 if that isn't enough either, nothing but the base rules rejects.
@@ -25,14 +26,17 @@ from .shared import documents, drop, join_small, stage, text_key, workspace
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
-#: Share of a group's documents that the estimate concentrates on.
-SHARE = 0.75
+#: Share of a group's documents that the estimate concentrates on; the number is (n + DIM + 1) / 2.
+SHARE = 0.5
+
+#: Starts of the concentration: the medians, and single documents with the median deviations as scales.
+STARTS = 7
 
 #: Fewest documents that an estimate is made of.
 MIN_ROWS = 100
 
 #: Squared distances above this probability of the chi-square distribution are rejected.
-CONFIDENCE = 1 - 1e-7
+CONFIDENCE = 0.999
 
 STEPS = 12
 
@@ -137,13 +141,18 @@ def _consistency(share: float) -> float:
     return share / chi2_cdf(chi2_quantile(share, DIM), DIM + 2)
 
 
-def estimate(n: int, sums: list[int], products: list[int], share: float) -> tuple[list[float], list[float]]:
-    """Mean and inverse covariance (row by row) from integer moments."""
+def covariance(n: int, sums: list[int], products: list[int], share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance, floors included, from integer moments."""
     mean = np.array([s / n for s in sums]) / UNIT
     cov = np.zeros((DIM, DIM))
     for (i, j), p in zip(PAIRS, products, strict=True):
         cov[i, j] = cov[j, i] = (p * n - sums[i] * sums[j]) / (n * n) / UNIT**2
-    cov = cov * _consistency(share) + np.diag(np.square(list(FLOORS.values())))
+    return mean, cov * _consistency(share) + np.diag(np.square(list(FLOORS.values())))
+
+
+def estimate(n: int, sums: list[int], products: list[int], share: float) -> tuple[list[float], list[float]]:
+    """Mean and inverse covariance (row by row) from integer moments."""
+    mean, cov = covariance(n, sums, products, share)
     return mean.tolist(), np.linalg.inv(cov).ravel().tolist()
 
 
@@ -173,29 +182,45 @@ def _medians(rows: DataFrame) -> DataFrame:
     return both.select("fit", F.transform("p", lambda p: p.m).alias("mean"), inverse.alias("inverse"))
 
 
+def _starts(rows: DataFrame, medians: DataFrame) -> DataFrame:
+    """(fit, start, mean, inverse): the medians, and the documents of least hashes in place of them."""
+    each = rows.withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(STARTS - 1))))
+    x = [f"x{i}" for i in range(DIM)]
+    picked = each.groupBy("fit", "start").agg(F.min(F.struct(F.xxhash64("start", *x).alias("h"), *x)).alias("p"))
+    mean = F.array(*[F.col(f"p.{c}") / UNIT for c in x])
+    picked = picked.join(medians.select("fit", "inverse"), "fit").select("fit", "start", mean.alias("mean"), "inverse")
+    return medians.select("fit", F.lit(0).alias("start"), "mean", "inverse").union(picked)
+
+
 def _step(rows: DataFrame, fits: DataFrame, share: float | None) -> DataFrame:
-    """New estimates from the nearest ``share`` of each group, or from what lies within 97.5 % if None."""
+    """(fit, start, mean, inverse, volume) from the nearest half of each group, or from what lies within 97.5 % if None.
+
+    volume is the logarithm of the covariance's determinant.
+    """
     far = chi2_quantile(0.975, DIM)
     bin_ = F.floor(F.log2(distance() + 2.0**-20) * BINS).cast("long") if share else F.when(distance() <= far, F.lit(0)).otherwise(F.lit(1)).cast("long")
     sums = [F.sum(F.col(f"x{i}").cast("decimal(19,0)")).alias(f"s{i}") for i in range(DIM)]
     products = [F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(19,0)")).alias(f"p{i}{j}") for i, j in PAIRS]
-    by_bin = join_small(rows, fits, ["fit"], "inner").withColumn("bin", bin_).groupBy("fit", "bin").agg(F.count("*").alias("n"), *sums, *products)
-    w = Window.partitionBy("fit")  # a row for each bin of distance
+    each = join_small(rows, fits.groupBy("fit").agg(F.collect_list(F.struct("start", "mean", "inverse")).alias("starts")), ["fit"], "inner")  # STARTS entries each
+    each = each.withColumn("s", F.explode("starts")).drop("starts").select("*", "s.*")
+    by_bin = each.withColumn("bin", bin_).groupBy("fit", "start", "bin").agg(F.count("*").alias("n"), *sums, *products)
+    w = Window.partitionBy("fit", "start")  # a row for each bin of distance
     up_to = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     held = by_bin.withColumn("before", up_to).withColumn("all", F.sum("n").over(w))
-    held = held.where(F.col("before") < F.col("all") * F.lit(share)) if share else held.where((F.col("bin") == 0) | (F.col("before") == 0))
+    held = held.where(F.col("before") < F.floor((F.col("all") + DIM + 1) / 2)) if share else held.where((F.col("bin") == 0) | (F.col("before") == 0))
     names = ["n", *[f"s{i}" for i in range(DIM)], *[f"p{i}{j}" for i, j in PAIRS]]
-    moments = held.groupBy("fit").agg(*[F.sum(c).cast("string").alias(c) for c in names])
+    moments = held.groupBy("fit", "start").agg(*[F.sum(c).cast("string").alias(c) for c in names])
+    kind = pa.schema([("fit", pa.string()), ("start", pa.int32()), ("mean", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64())), ("volume", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                m, v = estimate(int(r["n"]), [int(r[f"s{i}"]) for i in range(DIM)], [int(r[f"p{i}{j}"]) for i, j in PAIRS], share or 0.975)
-                out.append({"fit": r["fit"], "mean": m, "inverse": v})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("fit", pa.string()), ("mean", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64()))]))
+                m, c = covariance(int(r["n"]), [int(r[f"s{i}"]) for i in range(DIM)], [int(r[f"p{i}{j}"]) for i, j in PAIRS], share or 0.975)
+                out.append({"fit": r["fit"], "start": r["start"], "mean": m.tolist(), "inverse": np.linalg.inv(c).ravel().tolist(), "volume": float(np.linalg.slogdet(c)[1])})
+            yield pa.RecordBatch.from_pylist(out, schema=kind)
 
-    return moments.mapInArrow(run, "fit string, mean array<double>, inverse array<double>")
+    return moments.mapInArrow(run, "fit string, start int, mean array<double>, inverse array<double>, volume double")
 
 
 def fit(stats: DataFrame, folder: str) -> DataFrame:
@@ -210,17 +235,19 @@ def fit(stats: DataFrame, folder: str) -> DataFrame:
     enough = groups.groupBy("fit").agg(F.sum("n").alias("rows")).where(F.col("rows") >= MIN_ROWS).select("fit")
     groups = stage(groups.drop("n").join(enough, "fit"), f"{folder}/fits")
     rows = stage(join_small(rows, groups, ["lang_key", "source_key"], "inner").select("fit", *[f"x{i}" for i in range(DIM)]), f"{folder}/vectors")
-    fits = stage(_medians(rows), f"{folder}/fit-0")
+    medians = stage(_medians(rows), f"{folder}/medians")
+    fits = stage(_starts(rows, medians), f"{folder}/fit-0")
     for n in range(1, STEPS + 1):
         new = stage(_step(rows, fits, SHARE), f"{folder}/fit-{n}")
-        changed = new.join(fits.withColumnRenamed("mean", "old"), "fit").where("mean <> old").limit(1).count()
+        changed = new.join(fits.select("fit", "start", F.col("mean").alias("old")), ["fit", "start"]).where("mean <> old").limit(1).count()
         drop(spark, f"{folder}/fit-{n - 1}")
         fits = new
         if not changed:
             break
-    fits = stage(_step(rows, fits, None), f"{folder}/fit-last")
+    best = fits.groupBy("fit").agg(F.min(F.struct("volume", "start", "mean", "inverse")).alias("s")).select("fit", "s.*").drop("volume")
+    fits = stage(_step(rows, best, None).select("fit", "mean", "inverse"), f"{folder}/fit-last")
     out = stage(groups.join(fits, "fit").drop("fit"), f"{folder}/estimates")
-    for part in ("groups", "fits", "vectors", f"fit-{n}", "fit-last"):
+    for part in ("groups", "fits", "vectors", "medians", f"fit-{n}", "fit-last"):
         drop(spark, f"{folder}/{part}")
     return out
 
