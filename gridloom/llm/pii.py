@@ -3,7 +3,8 @@
 Values are found by one pattern, validated by kind, and turned to a vector of digits of given radices.
 A Feistel network adds to one half of the vector what a keyed hash makes of the other, in turns, which
 permutes the values of a format: equal values get equal pseudonyms in all documents, different ones
-different. Check digits are computed again. What fails validation stays as it is.
+different. Check digits are computed again. What fails validation stays as it is; but where an IBAN or card has
+swallowed what stands beside it, the longest valid part between separators is taken, and the search goes on behind it.
 
     email    letters and digits up to the last dot, each within its own alphabet
     ip       IPv4 octets up to 255
@@ -41,6 +42,9 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 
+#: Groups in which a card inside a longer run of digits is written, at most; fewest characters of an IBAN or card.
+CARD_GROUPS, LEAST = 5, 13
+
 #: Alphabets within which a character stays.
 DIGITS = "0123456789"
 ALPHABETS = [DIGITS, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"]
@@ -232,6 +236,68 @@ def _kind(m: Column) -> Column:
     return out
 
 
+def _inside(m: Column) -> Column:
+    """Struct (before, value) of the first longest valid part of an IBAN or card match that fails as a whole, null if there is none.
+
+    Parts begin and end at separators; a card's part has at most CARD_GROUPS of them.
+    """
+    whole = f"^(?:{PATTERNS['iban']}|{PATTERNS['card']})$"
+
+    def spans(t: Column) -> Column:
+        def start(i: Column) -> Column:
+            def part(n: Column) -> Column:
+                raw = F.array_join(F.slice(t, i + 1, n), "")
+                value = F.regexp_replace(raw, "^[ -]", "")
+                before = F.concat(F.array_join(F.slice(t, F.lit(1), i), ""), F.regexp_extract(raw, "^[ -]?", 0))
+                few = (n <= CARD_GROUPS) | F.rlike(value, F.lit("^[A-Z]"))
+                return F.struct(before.alias("before"), F.when(few & F.rlike(value, F.lit(whole)), value).alias("value"))
+
+            return F.transform(F.sequence(F.size(t) - i, F.lit(1), F.lit(-1)), part)
+
+        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(t) - 1), start))
+        return F.get(F.filter(every, lambda x: x.value.isNotNull() & _kind(x.value).isNotNull()), F.lit(0))
+
+    tokens = F.regexp_extract_all(m, F.lit("[ -]?[^ -]+"), F.lit(0))
+    return F.when(F.rlike(m, F.lit(whole)) & F.rlike(m, F.lit("[ -]")) & _kind(m).isNull(), _let(tokens, spans))
+
+
+def segments(text: Column, pattern: str) -> Column:
+    """The text in parts, to be searched each for itself: each valid value inside a failing match is a part of its own."""
+
+    def step(acc: Column, _: Column) -> Column:
+        def cut(found: Column) -> Column:
+            def at(x: Column) -> Column:
+                i = F.get(F.filter(F.sequence(F.lit(0), F.size(x)), lambda k: (k == F.size(x)) | F.get(x, k).isNotNull()), F.lit(0))
+
+                def parts(i: Column) -> Column:
+                    between = F.slice(F.split(acc.rest, pattern, -1), F.lit(1), i + 1)
+                    values = F.concat(F.slice(found, F.lit(1), i), F.array(F.lit("")))
+                    head = F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")
+                    return _let(F.struct(F.concat(head, F.get(x, i).before).alias("head"), F.get(x, i).value.alias("value")), rest)
+
+                def rest(y: Column) -> Column:
+                    behind = F.substr(acc.rest, F.length(y.head) + F.length(y.value) + 1)
+                    return F.struct(F.concat(acc.done, F.array(y.head, y.value)).alias("done"), behind.alias("rest"), F.lit(True).alias("more"))
+
+                stop = F.struct(acc.done.alias("done"), acc.rest.alias("rest"), F.lit(False).alias("more"))
+                return _let(i, lambda i: F.when(i == F.size(x), stop).otherwise(parts(i)))
+
+            return _let(F.transform(found, _inside), at)
+
+        return F.when(acc.more, _let(F.regexp_extract_all(acc.rest, F.lit(pattern), F.lit(0)), cut)).otherwise(acc)
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), text.alias("rest"), F.lit(True).alias("more"))
+    turns = F.sequence(F.lit(0), F.floor(F.length(text) / LEAST).cast("int"))
+    return F.aggregate(turns, start, step, lambda acc: F.concat(acc.done, F.array(acc.rest)))
+
+
+def _joined(a: Column, b: Column) -> Column:
+    """Arrays of strings in a row, the last one of the first and the first one of the second made one."""
+    n = F.size(a)
+    seam = F.concat(F.element_at(a, -1), F.element_at(b, 1))
+    return F.when(n == 0, b).otherwise(F.concat(F.slice(a, F.lit(1), n - 1), F.array(seam), F.slice(b, F.lit(2), F.size(b))))
+
+
 def _replaced(m: Column, key: str) -> Column:
     def by_kind(kind: Column) -> Column:
         value = m
@@ -254,18 +320,24 @@ def pseudonymized(docs: DataFrame, key: str = KEY, column: str = "text", counts:
     """
     text = F.col(column).cast("string")
     pattern = any_pattern()
-    found = F.when(F.rlike(text, F.lit("[0-9@]|[A-Fa-f]{32}")), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    name = "_found"
-    while name in docs.columns:
-        name += "_"
-    rows = docs.withColumn(name, F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda m: _replaced(m, key)))
-    between = F.split(text, pattern, -1)
+    every = lambda x: F.regexp_extract_all(x, F.lit(pattern), F.lit(0))
+    found = F.when(F.rlike(text, F.lit("[0-9@]|[A-Fa-f]{32}")), every(text))
+    name, parts = "_found", "_parts"
+    while {name, parts} & set(docs.columns):
+        name, parts = name + "_", parts + "_"
+    rows = docs.withColumn(name, F.coalesce(found, F.array().cast("array<string>")))
+    rows = rows.withColumn(parts, F.when(F.exists(name, lambda m: _inside(m).isNotNull()), segments(text, pattern)))
+    matches = F.when(F.col(parts).isNull(), F.col(name)).otherwise(F.flatten(F.transform(parts, every)))
+    rows = rows.withColumn(name, F.transform(matches, lambda m: _replaced(m, key)))
+    # what ends a part and what begins the next stand between the same two values
+    joined = F.aggregate(F.transform(parts, lambda x: F.split(x, pattern, -1)), F.array().cast("array<string>"), _joined)
+    between = F.when(F.col(parts).isNull(), F.split(text, pattern, -1)).otherwise(joined)
     values = F.concat(F.transform(name, lambda x: x.value), F.array(F.lit("")))
     new = F.when(F.size(name) > 0, F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")).otherwise(text)
     out = rows.withColumn(column, new)
     if counts:
         out = out.withColumns({f"n_{k}": F.size(F.filter(name, _of(k))).cast("long") for k in KINDS})
-    return out.drop(name)
+    return out.drop(name, parts)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
