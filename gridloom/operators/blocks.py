@@ -17,8 +17,8 @@ def relevant_pages(documents: DataFrame) -> DataFrame:
     return some.select("pdf_name", F.explode(F.sequence(F.lit(3), F.col("n_pages").cast("int") - 1)).alias("page_no"))
 
 
-def contour_candidates(boxes: DataFrame, page_w: int = SETTINGS.page_width, page_h: int = SETTINGS.page_height) -> DataFrame:
-    """Boxes (x, y, w, h, ...) that may be blocks, with padded corners x1 .. y2."""
+def contour_candidates(boxes: DataFrame, page_w: int | Column = SETTINGS.page_width, page_h: int | Column = SETTINGS.page_height) -> DataFrame:
+    """Boxes (x, y, w, h, ...) that may be blocks, with padded corners x1 .. y2; sizes of pages may be columns."""
     chosen = boxes.where(g.is_contour_block("w", "h", F.lit(page_w), F.lit(page_h)))
     return chosen.withColumn("_c", g.padded("x", "y", "w", "h", F.lit(page_w), F.lit(page_h))).select(*boxes.columns, "_c.*")
 

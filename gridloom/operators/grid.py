@@ -26,7 +26,7 @@ def _stretches(lines: Column, end: int) -> Column:
     return F.zip_with(inner, F.slice(edges, F.lit(2), F.size(edges) - 1), lambda a, b: F.struct(a.alias("low"), b.alias("high")))
 
 
-def grid_cells(lines: DataFrame, page: list[str], page_w: int = SETTINGS.page_width, page_h: int = SETTINGS.page_height) -> DataFrame:
+def grid_cells(lines: DataFrame, page: list[str], page_w: int | Column = SETTINGS.page_width, page_h: int | Column = SETTINGS.page_height) -> DataFrame:
     """(page, cell_idx, x1, y1, x2, y2, w, h): cells between the lines (h_lines, v_lines), row by row.
 
     Cells that are too small aren't counted. Rows and columns of a page are combined and numbered within its row,
@@ -48,5 +48,5 @@ def viable(lines: DataFrame) -> DataFrame:
     return lines.where((F.size("h_lines") >= 2) & (F.size("v_lines") >= 2))
 
 
-def grid_blocks(cells: DataFrame, page_w: int = SETTINGS.page_width, page_h: int = SETTINGS.page_height) -> DataFrame:
+def grid_blocks(cells: DataFrame, page_w: int | Column = SETTINGS.page_width, page_h: int | Column = SETTINGS.page_height) -> DataFrame:
     return cells.where(g.is_grid_block("w", "h", F.lit(page_w), F.lit(page_h)))

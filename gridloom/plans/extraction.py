@@ -60,23 +60,19 @@ def _ruled(row: dict) -> list[dict]:
 def detected_blocks(pages: DataFrame) -> DataFrame:
     """(pdf_name, page_no, idx, x1, y1, x2, y2) of the blocks of PAGE rows: from contours, on pages without any from ruled lines.
 
-    Pages with ruled lines are looked at again only where contours give nothing. Pages of one size are assumed
-    for the bounds of a call; other sizes take a call each.
+    Pages with ruled lines are looked at again only where contours give nothing. Bounds are those of each page's own size.
     """
-    size = pages.select("width", "height").first()
-    if size is None:
-        return pages.select(*_KEY, F.lit(0).alias("idx"), *[F.lit(0).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
-    w, h = size
+    w, h = F.col("width"), F.col("height")
     boxes = _mapped(pages, _FOUND, _contours)
-    kept = b.deduplicated(b.contour_candidates(boxes.where("not failed").select(*_KEY, "x", "y", "w", "h"), w, h), _KEY)
+    kept = b.deduplicated(b.contour_candidates(boxes.where("not failed").select(*_KEY, "height", "width", "x", "y", "w", "h"), w, h), _KEY)
     left, top = F.greatest(F.lit(0).cast("long"), F.col("x") - SETTINGS.block_padding), F.greatest(F.lit(0).cast("long"), F.col("y") - SETTINGS.block_padding)
     kept = kept.select(*_KEY, "idx", left.alias("x1"), top.alias("y1"), (left + F.col("pw")).alias("x2"), (top + F.col("ph")).alias("y2"))
     failed = boxes.where("failed").select(*_KEY, F.lit(0).alias("idx"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("w").alias("x2"), F.col("h").alias("y2"))
     found = kept.unionByName(failed)
     rest = pages.join(found.select(*_KEY).distinct(), _KEY, "left_anti")
     lines = _mapped(rest.select(*PAGE.fieldNames()), _LINES, _ruled)
-    merged = lines.select(*_KEY, *[grid.merge_close(F.col(c), gap).alias(c) for c, gap in (("h_lines", SETTINGS.horizontal_gap), ("v_lines", SETTINGS.vertical_gap))])
-    cells = grid.grid_blocks(grid.grid_cells(grid.viable(merged), _KEY, w, h), w, h)
+    merged = lines.select(*_KEY, "height", "width", *[grid.merge_close(F.col(c), gap).alias(c) for c, gap in (("h_lines", SETTINGS.horizontal_gap), ("v_lines", SETTINGS.vertical_gap))])
+    cells = grid.grid_blocks(grid.grid_cells(grid.viable(merged), [*_KEY, "height", "width"], w, h), w, h)
     cells = b.strict_if_many(cells, _KEY).select(*_KEY, F.col("cell_idx").alias("idx"), "x1", "y1", "x2", "y2")
     return found.unionByName(cells)
 
