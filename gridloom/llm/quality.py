@@ -1,11 +1,14 @@
 """Quality rules: base rules, then robust multivariate outliers by minimum covariance determinant.
 
 Each document's statistics are transformed to a vector. For every language and source, concentration
-steps over all of its documents find the covariance of least determinant among half of them, (n + p + 1) / 2,
-on which the breakdown point of nearly a half rests: distances from the present estimate, the bin of distance that
-holds the wanted number, and the moments of what lies up to it. They go from several starts, of which the one that ends
-in the least determinant counts. Moments are sums of integers, so any order of summing gives the same estimate. A
-document is rejected when its Mahalanobis distance exceeds the cutoff.
+steps over all of its documents look for the covariance of least determinant among (n + p + 1) / 2 of them, on which
+the breakdown point of nearly a half rests: the nearest so many by the present estimate make the next one, until the
+determinant falls no more. They go from STARTS starts; the BEST after two steps go on to their end, and the least determinant
+counts. A document is rejected when its Mahalanobis distance exceeds the cutoff.
+
+The search asks for order statistics and moments only. A group of up to GROUP_ROWS documents answers them in one task; a
+larger one by jobs over its vectors, which send back counts and sums. Sums are of integers and distances are
+taken in one order, so both ways, and reruns, give the same estimate. Distances that agree to 2^-20 are ties.
 
 Groups with fewer than MIN_ROWS documents are pooled by language, and if that isn't enough, altogether;
 if that isn't enough either, nothing but the base rules rejects.
@@ -14,13 +17,13 @@ if that isn't enough either, nothing but the base rules rejects.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .shared import documents, drop, join_small, stage, text_key, workspace
 
@@ -29,8 +32,11 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: Share of a group's documents that the estimate concentrates on; the number is (n + DIM + 1) / 2.
 SHARE = 0.5
 
-#: Starts of the concentration: the medians, and single documents with the median deviations as scales.
-STARTS = 7
+#: Starts of the concentration: the medians, and single documents with the median deviations as scales; and how many go on to the end.
+STARTS, BEST = 7, 2
+
+#: Documents of a group that one task takes, some 5 MB for each 100,000; larger groups answered by the same jobs.
+GROUP_ROWS, WAVE = 1 << 20, 16
 
 #: Fewest documents that an estimate is made of.
 MIN_ROWS = 100
@@ -38,14 +44,9 @@ MIN_ROWS = 100
 #: Squared distances above this probability of the chi-square distribution are rejected.
 CONFIDENCE = 0.999
 
-STEPS = 12
-
 #: Vectors are kept as integers in steps of 1 / UNIT.
 UNIT = 4096
 
-#: Bins of squared distance to an octave.
-BINS = 32
-
 #: Least standard deviation of each component: those of a group whose documents hardly differ are raised to it.
 FLOORS = {"log words": 0.25, "log word length": 0.08, "symbols": 0.5, "repeated lines": 0.15, "repeated words": 0.12}
 DIM = len(FLOORS)
@@ -54,7 +55,10 @@ PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
 
 def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
     """STATS of a whole text; words are runs of bytes other than ASCII white space, lines end at newlines."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+    return byte_stats((text or "").encode("utf-8", "surrogatepass"))
+
+
+def byte_stats(raw: bytes) -> tuple[int, int, int, int, int, int]:
     words = raw.split()
     if not words:
         return (0, 0, int(sum(raw.count(c) for c in b"#*$%&|<>")), 0, 0, 0)
@@ -85,20 +89,15 @@ def _repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and a struct ``_stats`` of its column ``text``; rows go in small batches."""
-    fields = ", ".join(f"{s}: long" for s in STATS)
-    schema = docs.select("*", F.lit(None).cast(f"struct<{fields}>").alias("_stats")).schema
-    at = docs.columns.index(text)
+def stats_of(text: Column) -> Column:
+    """Struct of the STATS of a string column. Only the texts go to Python, and only numbers come back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([(s, pa.int64()) for s in STATS])
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, len(b), 1000)):
-            rows = np.array([text_stats(t.as_py()) for t in batch.column(at)], dtype=np.int64).reshape(-1, len(STATS))
-            stats = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(STATS))], fields=list(kind))
-            yield pa.RecordBatch.from_arrays([*batch.columns, stats], names=[*batch.schema.names, "_stats"])
+    @F.arrow_udf("struct<" + ", ".join(f"{s}: bigint" for s in STATS) + ">")
+    def run(texts: pa.Array) -> pa.Array:
+        rows = np.array([byte_stats(t.as_py() or b"") for t in texts], dtype=np.int64).reshape(-1, len(STATS))
+        return pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(STATS))], names=STATS)
 
-    return docs.mapInArrow(run, schema)
+    return run.asNondeterministic()(text.cast("string").cast("binary"))  # so that a filter on it doesn't compute it again
 
 
 def base_failed() -> Column:
@@ -162,92 +161,221 @@ def distance() -> Column:
     return sum((d[i] * d[j] * F.col("inverse")[i * DIM + j] * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
 
 
-def _medians(rows: DataFrame) -> DataFrame:
-    """First estimate by group: medians, and median deviations as scales."""
+def distances(x: np.ndarray, mean: list[float], inverse: list[float]) -> np.ndarray:
+    """Squared Mahalanobis distances of integer vectors, summed in one order wherever they are taken."""
+    d = [x[:, i] / UNIT - mean[i] for i in range(DIM)]
+    out = np.zeros(len(x))
+    for i, j in PAIRS:
+        out += d[i] * d[j] * (inverse[i * DIM + j] * (1 if i == j else 2))
+    return np.maximum(out, 0.0)
+
+
+def keys(x: np.ndarray, of: tuple) -> np.ndarray:
+    """32-bit numbers in the order of a quantity: ("value", i), ("deviation", i, from) or ("distance", mean, inverse)."""
+    if of[0] == "value":
+        return x[:, of[1]] + (1 << 31)
+    if of[0] == "deviation":
+        return np.abs(x[:, of[1]] - of[2])
+    return distances(x, *of[1:]).view(np.int64) >> 32
+
+
+def moments(x: np.ndarray) -> tuple[int, list[int], list[int]]:
+    return len(x), x.sum(axis=0).tolist(), [int((x[:, i] * x[:, j]).sum()) for i, j in PAIRS]
 
-    def median(x: DataFrame, name: str) -> DataFrame:
-        counted = x.groupBy("fit", "i", "v").agg(F.count("*").alias("n"))
-        w = Window.partitionBy("fit", "i")
-        up_to, all_ = F.sum("n").over(w.orderBy("v")), F.sum("n").over(w)
-        return counted.select("fit", "i", "v", up_to.alias("s"), all_.alias("t")).where("2 * s >= t").groupBy("fit", "i").agg(F.min("v").alias(name))
 
-    parts = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col(f"x{i}") / F.lit(UNIT // 256)).cast("long").alias("v")) for i in range(DIM)]))
-    long = rows.select("fit", parts.alias("p")).select("fit", "p.i", "p.v")
-    middle = median(long, "middle")
-    spread = median(join_small(long, middle, ["fit", "i"], "inner").select("fit", "i", F.abs(F.col("v") - F.col("middle")).alias("v")), "spread")
-    floors = F.element_at(F.array(*[F.lit(f) for f in FLOORS.values()]), F.col("i") + 1)
-    both = middle.join(spread, ["fit", "i"]).select("fit", F.struct("i", ((F.col("middle") + 0.5) / 256).alias("m"), (1 / (F.pow(F.col("spread") / 256 * 1.4826, 2) + floors * floors)).alias("w")).alias("p"))
-    both = both.groupBy("fit").agg(F.array_sort(F.collect_list("p")).alias("p"))  # DIM entries each
-    inverse = F.array(*[F.col("p")[i].w if i == j else F.lit(0.0) for i in range(DIM) for j in range(DIM)])
-    return both.select("fit", F.transform("p", lambda p: p.m).alias("mean"), inverse.alias("inverse"))
+def least(x: np.ndarray, seed: int) -> tuple[int, ...]:
+    """Hash and components of the vector of least hash."""
+    h = np.full(len(x), seed * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+    for i in range(DIM):
+        h = (h ^ x[:, i].astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+    h >>= np.uint64(1)
+    at = min(np.flatnonzero(h == h.min()).tolist(), key=lambda k: tuple(x[k]))
+    return int(h[at]), *x[at].tolist()
 
 
-def _starts(rows: DataFrame, medians: DataFrame) -> DataFrame:
-    """(fit, start, mean, inverse): the medians, and the documents of least hashes in place of them."""
-    each = rows.withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(STARTS - 1))))
-    x = [f"x{i}" for i in range(DIM)]
-    picked = each.groupBy("fit", "start").agg(F.min(F.struct(F.xxhash64("start", *x).alias("h"), *x)).alias("p"))
-    mean = F.array(*[F.col(f"p.{c}") / UNIT for c in x])
-    picked = picked.join(medians.select("fit", "inverse"), "fit").select("fit", "start", mean.alias("mean"), "inverse")
-    return medians.select("fit", F.lit(0).alias("start"), "mean", "inverse").union(picked)
+Question = tuple[str, list]
 
 
-def _step(rows: DataFrame, fits: DataFrame, share: float | None) -> DataFrame:
-    """(fit, start, mean, inverse, volume) from the nearest half of each group, or from what lies within 97.5 % if None.
+def search(n: int) -> Generator[Question, list, tuple[list[float], list[float]]]:
+    """Mean and inverse covariance of a group of n documents, by questions about all of its vectors.
 
-    volume is the logarithm of the covariance's determinant.
+    ("kth", [(of, rank)]) asks for the key of that rank, ("least", [seed]) for the vector of least hash, and
+    ("moments", [(mean, inverse, limit)]) for count, sums and products of what has a distance up to that key.
     """
-    far = chi2_quantile(0.975, DIM)
-    bin_ = F.floor(F.log2(distance() + 2.0**-20) * BINS).cast("long") if share else F.when(distance() <= far, F.lit(0)).otherwise(F.lit(1)).cast("long")
-    sums = [F.sum(F.col(f"x{i}").cast("decimal(19,0)")).alias(f"s{i}") for i in range(DIM)]
-    products = [F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(19,0)")).alias(f"p{i}{j}") for i, j in PAIRS]
-    each = join_small(rows, fits.groupBy("fit").agg(F.collect_list(F.struct("start", "mean", "inverse")).alias("starts")), ["fit"], "inner")  # STARTS entries each
-    each = each.withColumn("s", F.explode("starts")).drop("starts").select("*", "s.*")
-    by_bin = each.withColumn("bin", bin_).groupBy("fit", "start", "bin").agg(F.count("*").alias("n"), *sums, *products)
-    w = Window.partitionBy("fit", "start")  # a row for each bin of distance
-    up_to = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    held = by_bin.withColumn("before", up_to).withColumn("all", F.sum("n").over(w))
-    held = held.where(F.col("before") < F.floor((F.col("all") + DIM + 1) / 2)) if share else held.where((F.col("bin") == 0) | (F.col("before") == 0))
-    names = ["n", *[f"s{i}" for i in range(DIM)], *[f"p{i}{j}" for i, j in PAIRS]]
-    moments = held.groupBy("fit", "start").agg(*[F.sum(c).cast("string").alias(c) for c in names])
-    kind = pa.schema([("fit", pa.string()), ("start", pa.int32()), ("mean", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64())), ("volume", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    half = (n + DIM + 1) // 2
+    middles = yield "kth", [(("value", i), (n - 1) // 2) for i in range(DIM)]
+    middles = [m - (1 << 31) for m in middles]
+    spreads = yield "kth", [(("deviation", i, middles[i]), (n - 1) // 2) for i in range(DIM)]
+    scales = [1 / ((1.4826 * s / UNIT) ** 2 + f * f) for s, f in zip(spreads, FLOORS.values(), strict=True)]
+    inverse = np.diag(scales).ravel().tolist()
+    picked = yield "least", list(range(1, STARTS))
+    means = [middles, *[p[1:] for p in picked]]
+    live = [(math.inf, k, [v / UNIT for v in m], inverse) for k, m in enumerate(means)]
+    ended, turn = [], 0
+    while live:
+        turn += 1
+        limits = yield "kth", [(("distance", m, inv), half - 1) for _, _, m, inv in live]
+        found = yield "moments", [(m, inv, limit) for (_, _, m, inv), limit in zip(live, limits, strict=True)]
+        ahead = []
+        for old, f in zip(live, found, strict=True):
+            mean, cov = covariance(*f, SHARE)
+            volume = float(np.linalg.slogdet(cov)[1])
+            if volume < old[0]:
+                ahead.append((volume, old[1], mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
+            else:
+                ended.append(old)
+        live = sorted(ahead)[:BEST] if turn == 2 else ahead
+    _, _, mean, inverse = min(ended)
+    limit = int(np.float64(chi2_quantile(0.975, DIM)).view(np.int64) >> 32)
+    last = yield "moments", [(mean, inverse, limit)]
+    return estimate(*last[0], 0.975)
+
+
+def answered(x: np.ndarray) -> tuple[list[float], list[float]]:
+    """What ``search`` finds for vectors that are all here."""
+
+    def answer(kind: str, items: list) -> list:
+        if kind == "kth":
+            return [int(np.partition(keys(x, of), rank)[rank]) for of, rank in items]
+        if kind == "least":
+            return [least(x, seed) for seed in items]
+        return [moments(x[keys(x, ("distance", mean, inverse)) <= limit]) for mean, inverse, limit in items]
+
+    run = search(len(x))
+    question = next(run)
+    while True:
+        try:
+            question = run.send(answer(*question))
+        except StopIteration as end:
+            return end.value
+
+
+def _vectors(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.stack([batch.column(f"x{i}").to_numpy() for i in range(DIM)], axis=1)
+
+
+def _by_fit(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    fit, x = batch.column("fit").dictionary_encode(), _vectors(batch)
+    code = fit.indices.to_numpy()
+    for k, name in enumerate(fit.dictionary.to_pylist()):
+        yield name, x[code == k]
+
+
+def _kth(rows: DataFrame, asked: dict[str, list]) -> dict[str, list]:
+    """Keys by rank, 16 bits at a time: at most 65536 counts for each question come to the driver."""
+    high: dict[tuple[str, int], int] = {}
+    rank = {(fit, k): r for fit, items in asked.items() for k, (_, r) in enumerate(items)}
+    for low in (False, True):
+
+        def count(batches: Iterator[pa.RecordBatch], low: bool = low) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[str, int], np.ndarray] = {}
+            for batch in batches:
+                for fit, x in _by_fit(batch):
+                    for k, (of, _) in enumerate(asked.get(fit, [])):
+                        v = keys(x, of)
+                        v = v[v >> 16 == high[fit, k]] & 65535 if low else v >> 16
+                        held[fit, k] = held.get((fit, k), 0) + np.bincount(v, minlength=1 << 16)
+            for (fit, k), n in held.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([fit] * len(at), pa.string()), pa.array(np.full(len(at), k)), pa.array(at), pa.array(n[at])], names=["fit", "k", "at", "n"])
+
+        found = rows.mapInArrow(count, "fit string, k long, at long, n long").groupBy("fit", "k", "at").agg(F.sum("n").alias("n")).collect()
+        by: dict[tuple[str, int], list] = {}
+        for r in found:
+            by.setdefault((r.fit, r.k), []).append((r.at, r.n))
+        for name, counts in by.items():
+            for at, n in sorted(counts):
+                if rank[name] < n:
+                    high[name] = high.get(name, 0) << 16 | at
+                    break
+                rank[name] -= n
+    return {fit: [high[fit, k] for k in range(len(items))] for fit, items in asked.items()}
+
+
+def _least(rows: DataFrame, asked: dict[str, list]) -> dict[str, list]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], tuple] = {}
+        for batch in batches:
+            for fit, x in _by_fit(batch):
+                for k, seed in enumerate(asked.get(fit, [])):
+                    one = least(x, seed)
+                    held[fit, k] = min(held.get((fit, k), one), one)
+        out = [{"fit": fit, "k": k, "p": list(p)} for (fit, k), p in held.items()]
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("fit", pa.string()), ("k", pa.int64()), ("p", pa.list_(pa.int64()))]))
+
+    found = rows.mapInArrow(pick, "fit string, k long, p array<long>").groupBy("fit", "k").agg(F.min("p").alias("p")).collect()
+    by = {(r.fit, r.k): tuple(r.p) for r in found}
+    return {fit: [by[fit, k] for k in range(len(items))] for fit, items in asked.items()}
+
+
+def _moments(rows: DataFrame, asked: dict[str, list]) -> dict[str, list]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("fit", pa.string()), ("k", pa.int64()), ("i", pa.int64()), ("v", pa.int64())])
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                m, c = covariance(int(r["n"]), [int(r[f"s{i}"]) for i in range(DIM)], [int(r[f"p{i}{j}"]) for i, j in PAIRS], share or 0.975)
-                out.append({"fit": r["fit"], "start": r["start"], "mean": m.tolist(), "inverse": np.linalg.inv(c).ravel().tolist(), "volume": float(np.linalg.slogdet(c)[1])})
-            yield pa.RecordBatch.from_pylist(out, schema=kind)
+            for fit, x in _by_fit(batch):
+                for k, (mean, inverse, limit) in enumerate(asked.get(fit, [])):
+                    n, sums, products = moments(x[keys(x, ("distance", mean, inverse)) <= limit])
+                    out += [{"fit": fit, "k": k, "i": i, "v": v} for i, v in enumerate([n, *sums, *products])]
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    found = rows.mapInArrow(add, "fit string, k long, i long, v long").groupBy("fit", "k", "i").agg(F.sum(F.col("v").cast("decimal(19,0)")).alias("v")).collect()
+    by = {(r.fit, r.k, r.i): int(r.v) for r in found}
+    every = [[by.get((fit, k, i), 0) for i in range(1 + DIM + len(PAIRS))] for fit, items in asked.items() for k in range(len(items))]
+    parts = iter([(v[0], v[1 : 1 + DIM], v[1 + DIM :]) for v in every])
+    return {fit: [next(parts) for _ in items] for fit, items in asked.items()}
+
+
+def _asked_of_all(rows: DataFrame, sizes: dict[str, int]) -> list[tuple[str, list[float], list[float]]]:
+    """Estimates of large groups, whose questions of a kind go together."""
+    runs = {fit: search(n) for fit, n in sizes.items()}
+    questions = {fit: next(run) for fit, run in runs.items()}
+    out = []
+    while questions:
+        answers: dict[str, list] = {}
+        for kind, way in (("kth", _kth), ("least", _least), ("moments", _moments)):
+            asked = {fit: items for fit, (of, items) in questions.items() if of == kind}
+            answers |= way(rows, asked) if asked else {}
+        questions = {}
+        for fit, answer in answers.items():
+            try:
+                questions[fit] = runs[fit].send(answer)
+            except StopIteration as end:
+                out.append((fit, *end.value))
+    return out
 
-    return moments.mapInArrow(run, "fit string, start int, mean array<double>, inverse array<double>, volume double")
+
+_FITS = "fit string, mean array<double>, inverse array<double>"
+
+
+def _one_group(table: pa.Table) -> pa.Table:
+    mean, inverse = answered(_vectors(table))
+    of = pa.list_(pa.float64())
+    return pa.table({"fit": table.column("fit")[:1], "mean": pa.array([mean], of), "inverse": pa.array([inverse], of)})
 
 
 def fit(stats: DataFrame, folder: str) -> DataFrame:
     """(lang_key, source_key, mean, inverse) from all rows (lang_key, source_key, _stats) that pass the base rules."""
     spark = stats.sparkSession
     rows = stats.where(~base_failed()).select("lang_key", "source_key", *vector())
-    sizes = rows.groupBy("lang_key", "source_key").agg(F.count("*").alias("n"))
+    sizes = stage(rows.groupBy("lang_key", "source_key").agg(F.count("*").alias("n")), f"{folder}/sizes")
     pooled = sizes.where(F.col("n") < MIN_ROWS).groupBy("lang_key").agg(F.sum("n").alias("pool"))
     name = F.when(F.col("n") >= MIN_ROWS, F.concat(F.lit("source\u0000"), "lang_key", F.lit("\u0000"), "source_key"))
     name = name.when(F.col("pool") >= MIN_ROWS, F.concat(F.lit("lang\u0000"), "lang_key")).otherwise(F.lit("all"))
-    groups = stage(sizes.join(pooled, "lang_key", "left").select("lang_key", "source_key", "n", name.alias("fit")), f"{folder}/groups")
-    enough = groups.groupBy("fit").agg(F.sum("n").alias("rows")).where(F.col("rows") >= MIN_ROWS).select("fit")
-    groups = stage(groups.drop("n").join(enough, "fit"), f"{folder}/fits")
-    rows = stage(join_small(rows, groups, ["lang_key", "source_key"], "inner").select("fit", *[f"x{i}" for i in range(DIM)]), f"{folder}/vectors")
-    medians = stage(_medians(rows), f"{folder}/medians")
-    fits = stage(_starts(rows, medians), f"{folder}/fit-0")
-    for n in range(1, STEPS + 1):
-        new = stage(_step(rows, fits, SHARE), f"{folder}/fit-{n}")
-        changed = new.join(fits.select("fit", "start", F.col("mean").alias("old")), ["fit", "start"]).where("mean <> old").limit(1).count()
-        drop(spark, f"{folder}/fit-{n - 1}")
-        fits = new
-        if not changed:
-            break
-    best = fits.groupBy("fit").agg(F.min(F.struct("volume", "start", "mean", "inverse")).alias("s")).select("fit", "s.*").drop("volume")
-    fits = stage(_step(rows, best, None).select("fit", "mean", "inverse"), f"{folder}/fit-last")
-    out = stage(groups.join(fits, "fit").drop("fit"), f"{folder}/estimates")
-    for part in ("groups", "fits", "vectors", "medians", f"fit-{n}", "fit-last"):
+    named = sizes.join(pooled, "lang_key", "left").select("lang_key", "source_key", "n", name.alias("fit"))
+    enough = named.groupBy("fit").agg(F.sum("n").alias("size")).where(F.col("size") >= MIN_ROWS)
+    groups = stage(named.drop("n").join(enough, "fit"), f"{folder}/groups")
+    rows = join_small(rows, groups, ["lang_key", "source_key"], "inner").select("fit", "size", *[f"x{i}" for i in range(DIM)])
+    large = {r.fit: r.size for r in groups.where(F.col("size") > GROUP_ROWS).select("fit", "size").distinct().collect()}  # of all rows, less than one in GROUP_ROWS
+    if large:
+        rows = stage(rows, f"{folder}/vectors")
+    fits = stage(rows.where(F.col("size") <= GROUP_ROWS).drop("size").groupBy("fit").applyInArrow(_one_group, _FITS), f"{folder}/fits")
+    for part in batched(sorted(large), WAVE):
+        some = rows.where(F.col("fit").isin(*part))
+        fits = fits.union(spark.createDataFrame(_asked_of_all(some, {k: large[k] for k in part}), _FITS))
+    out = stage(groups.drop("size").join(fits, "fit").drop("fit"), f"{folder}/estimates")
+    for part in ("sizes", "groups", "vectors", "fits"):
         drop(spark, f"{folder}/{part}")
     return out
 
@@ -273,7 +401,7 @@ def quality(docs: DataFrame) -> DataFrame:
     """
     folder = workspace(docs.sparkSession, "quality")
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")]
-    stats = with_stats(docs.select(*columns, F.col("text").cast("string").alias("text"))).drop("text")
+    stats = docs.select(*columns, stats_of(F.col("text")).alias("_stats"))
     stats = stage(_keyed(stats).drop("lang", "source"), f"{folder}/stats")
     return judged(stats, fit(stats, folder)).select("doc_id", *[f"_stats.{s}" for s in STATS], "base_failed", "distance", "kept")
 
@@ -285,12 +413,12 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     spares a shuffle of texts and needs no unique id.
     """
     folder = workspace(docs.sparkSession, "quality")
-    text = docs.select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    stats = stage(_keyed(with_stats(text).drop("text")).drop("lang", "source"), f"{folder}/stats")
+    stats = docs.select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), stats_of(F.col("text")).alias("_stats"))
+    stats = stage(_keyed(stats).drop("lang", "source"), f"{folder}/stats")
     fits = fit(stats, folder)
     drop(docs.sparkSession, f"{folder}/stats")
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names that clash with none used here
-    rows = with_stats(docs.toDF(*own.values()), own["text"])
+    rows = docs.toDF(*own.values()).withColumn("_stats", stats_of(F.col(own["text"])))
     rows = rows.withColumns({"lang_key": text_key(own["lang"]), "source_key": text_key(own["source"])})
     return judged(rows, fits).where("kept").select(*[F.col(c).alias(name) for name, c in own.items()])
 
