@@ -40,7 +40,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     """(key, source_size, target, take, slots, low, high) for each source of (key, size).
 
     A source is capped when the rate at which the uncapped ones share exceeds its own; sources ordered by
-    that rate make this one running sum. One row a source goes through one task.
+    that rate make this one running sum. One row a source goes through one task, so sources may be millions at most.
+    Sources whose texts are all blank have target 0 and no slots.
     """
     by = sizes.groupBy("key").agg(F.sum("size").alias("source_size"))
     place = F.row_number().over(Window.orderBy((F.col("key") == "n").cast("int"), "key")) - 1
@@ -59,7 +60,7 @@ def targets(sizes: DataFrame) -> DataFrame:
     by = by.withColumn("take", F.least(F.floor(F.col("target") + 0.5), F.lit(MOST) * F.col("source_size")).cast("long"))
     by = by.withColumn("slots", F.ceil(F.col("take") / F.lit(BLOCK)).cast("long"))
     n, up_to = F.sum("slots").over(Window.partitionBy()), F.sum("slots").over(Window.orderBy("key"))
-    return by.select("key", "source_size", "target", "take", "slots", ((up_to - F.col("slots")) / n).alias("low"), (up_to / n).alias("high"))
+    return by.select("key", "source_size", "target", "take", "slots", F.try_divide(up_to - F.col("slots"), n).alias("low"), F.try_divide(up_to, n).alias("high"))
 
 
 def golden(j: Column) -> Column:
@@ -95,9 +96,10 @@ def mix(docs: DataFrame, folder: str, seed: str = "mix") -> tuple[DataFrame, Dat
     documents: key, range, number (unique with key and range), doc_id, text_hash, size, at; sources as in
     ``targets``; pieces: slot, key, rank, range, number, epoch, from_word, words: what each block takes of
     each document. Null sources are one source, ordered last; null and blank texts have size 0 and no piece.
-    Rows that repeat a doc_id are documents of their own, shuffled next to each other. Reruns agree.
+    The order is that of a hash of doc_id and text, so rows that share a doc_id, or have none, are spread like others; rows
+    that repeat both are documents of their own next to each other. Reruns agree.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("source").alias("key"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"), order.alias("h"))
     rows = stage(rows, f"{folder}/sizes")
     n = rows.count()
@@ -133,23 +135,26 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it: once for each pass that takes most of its words.
 
-    Rows that repeat doc_id, source and text share their copies evenly, rounded.
+    Rows are written as scheduled: by ranges of the slot where a pass begins to take them, sorted in each. Rows that
+    repeat doc_id, source and text are all taken by a pass that takes at least half of them. Blank texts are in no pass.
     """
     folder = workspace(docs.sparkSession, "mixing")
     placed, _, pieces = mix(docs, folder)
-    passes = pieces.groupBy("key", "range", "number", "epoch").agg(F.sum("words").alias("words"))
-    passes = passes.join(placed, ["key", "range", "number"], "right").withColumn("copy", (F.coalesce(2 * F.col("words"), F.lit(0)) > F.col("size")).cast("long"))
-    taken = passes.groupBy("doc_id", "key", "text_hash").agg(F.sum("copy").alias("copies"), F.countDistinct("range", "number").alias("rows"))
-    taken = taken.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_key"), F.col("text_hash").alias("_hash"), F.round(F.col("copies") / F.col("rows")).cast("int").alias("_copies")).where("_copies > 0")
+    passes = pieces.groupBy("key", "range", "number", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+    most = placed.join(passes, ["key", "range", "number"], "left").withColumn("most", 2 * F.col("words") > F.col("size"))
+    epochs = [F.struct((2 * F.count_if(F.col("most") & (F.col("epoch") == e)) >= F.countDistinct("range", "number")).alias("in"), F.min(F.when(F.col("most") & (F.col("epoch") == e), F.col("slot"))).alias("slot")) for e in range(MOST)]
+    taken = most.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_key"), F.col("text_hash").alias("_hash")).agg(F.array(*epochs).alias("epochs"))
+    taken = taken.select("_id", "_key", "_hash", F.transform(F.filter("epochs", lambda e: e["in"]), lambda e: e.slot).alias("_slots")).where(F.size("_slots") > 0)
     keyed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), text_key("source").alias("_key"), F.xxhash64("text").alias("_hash"))
-    return keyed.join(taken, ["_id", "_key", "_hash"]).select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
+    each = keyed.join(taken, ["_id", "_key", "_hash"]).select("_row", F.explode("_slots").alias("_slot"))
+    return each.repartitionByRange("_slot").sortWithinPartitions("_slot").select("_row.*")
 
 
 #: The closed form of what the schedule takes: passes over each source's shuffled stream up to its target.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')) AS h FROM documents),
 p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM d),
 s AS (SELECT k, sum(size)::BIGINT AS source_size, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY k = 'n', k) - 1) % 3 + 1]::DOUBLE AS w FROM d GROUP BY k),
 r AS (SELECT *, 2 * source_size / w AS own,

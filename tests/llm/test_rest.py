@@ -80,6 +80,49 @@ def test_mix_of_odd_rows(spark):
     assert mixing.mixed_documents(df.limit(0)).count() == 0 and mixing.mix(df.limit(0), workspace(spark, "m"))[2].count() == 0
 
 
+def test_mix_of_blank_texts(spark):
+    for texts in ([None, None], ["", " \n"], [None]):
+        df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+        docs, sources, pieces = mixing.mix(df, workspace(spark, "m"))
+        assert docs.count() == len(texts) and pieces.count() == 0 and mixing.mixed_documents(df).count() == 0
+        assert {(r.source_size, r.target, r.take) for r in sources.collect()} == {(0, 0.0, 0)}
+
+
+def plain_mix(rows):
+    """(doc_id, text) as often as closed-form passes over shuffled streams take most of them; rows: (doc_id, text, source)."""
+    hash_ = lambda r: hashlib.md5(f"mix:{'' if r[0] is None else r[0]}:{'' if r[1] is None else hashlib.md5(r[1].encode()).hexdigest()}".encode()).hexdigest()
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    sources = sorted({r[2] for r in rows}, key=lambda k: (k is None, k or ""))
+    weight = {k: (3, 1, 2)[i % 3] for i, k in enumerate(sources)}
+    total = {k: sum(size(r) for r in rows if r[2] == k) for k in sources}
+    capped: set = set()
+    while True:
+        free = [k for k in sources if k not in capped]
+        rest = 1.5 * sum(total.values()) - sum(2 * total[k] for k in capped)
+        target = {k: 2.0 * total[k] if k in capped else rest * weight[k] / sum(weight[f] for f in free) for k in sources}
+        over = {k for k in free if target[k] > 2 * total[k]}
+        if not over:
+            break
+        capped |= over
+    out = Counter()
+    for k in sources:
+        at, take = 0, min(math.floor(target[k] + 0.5), 2 * total[k])
+        for r in sorted((r for r in rows if r[2] == k), key=lambda r: (hash_(r), size(r))):
+            for epoch in range(2):
+                begin = at + epoch * total[k]
+                out[r[0], r[1]] += 2 * max(0, min(begin + size(r), take) - begin) > size(r)
+            at += size(r)
+    return +out
+
+
+def test_mixed_documents_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i if i % 9 else None, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randint(0, 4000))), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(300)]
+    rows += [(77, f"one id {i} " * (i % 7), "b") for i in range(200)]
+    got = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == plain_mix(rows)
+
+
 def test_schedule_is_even(spark):
     sizes = spark.createDataFrame([(k, n) for k, n in (("sa", 900_000), ("sb", 900_000), ("sc", 900_000))], "key string, size long")
     sources = mixing.targets(sizes)
@@ -106,6 +149,28 @@ def test_archives(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0), folder), folder).count() == 0
 
 
+def test_archives_lose_no_record(spark, tmp_path):
+    """Headers of megabytes, files closed early, hostile payloads; a file cut short is an error."""
+    lines = "WARC/1.1\r\nContent-Length: 3\r\nX: WARC/1.1\r\n"
+    rows = [(0, "a", lines * 300), (1, "u" * 5_000_000, "long"), (2, "b", "x" * 2000), (3, "é" * 800_000, "more"), (4, "c", None), (5, "d", "x" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}"
+    for size in (1, 3_000_000, warc.FILE_BYTES):
+        files = warc.write_archives(pages.coalesce(1), folder, file_bytes=size)
+        assert files.count() == {1: 6, 3_000_000: 3}.get(size, 1)
+        got = {r.page_id: (r.payload_bytes, r.refers_to) for r in warc.read_archives(files, folder, range_bytes=100_000).collect()}
+        assert got == {i: (len((html or "").encode()), 5 if i == 2 else None) for i, _, html in rows}
+    name = tmp_path / files.first().file
+    whole = name.read_bytes()
+    last = whole.rfind(warc.MAGIC)
+    for cut, kind in ((len(whole) - 1, Exception), (last, ValueError), (last + 20, ValueError), (6_000_000, Exception)):
+        name.write_bytes(whole[:cut])
+        with pytest.raises(kind):
+            warc.read_archives(files, folder, range_bytes=100_000).collect()
+    name.write_bytes(whole)
+    assert warc.read_archives(files, folder).count() == len(rows)
+
+
 def plain_stats(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
