@@ -3,7 +3,8 @@
 For radius r, each of the 64 bits gets a non-zero vector of r + 1 bits; the table of each non-zero
 vector v masks the fingerprints to the bits whose vector has odd overlap with v. Any r bits leave some v
 without odd overlap, so every pair within the radius collides in some table. A bucket with
-too many fingerprints is split by the same construction over the bits that its mask leaves free.
+too many fingerprints is split by the same construction over the bits that its mask leaves free, again and again: each
+time about half of them are left, and a bucket has no more fingerprints than two to the number of its free bits.
 """
 
 from __future__ import annotations
@@ -14,16 +15,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .components import components
-from .shared import HOT_SHARE, documents, drop, join_skewed, stage, workspace
+from .shared import HOT_SHARE, documents, join_skewed, stage, workspace
 
 #: Distinct fingerprints compared with each other in a bucket; larger buckets are split further.
 BUCKET = 4096
 
+#: One in so many is looked at to find hot buckets.
 SAMPLE = 64
 
+#: Stands for all bits in a mask, and marks edges.
+ALL = -1
+
 
 def fingerprint(text: str | None, shingle: int) -> int:
     """64-bit SimHash of a whole text's word shingles (ASCII lower case); 0 without words."""
@@ -60,24 +64,39 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 
 def masks(radius: int, bits: list[int]) -> list[int]:
     """Covering masks over these bit positions, as signed 64-bit numbers."""
-    vectors = (1 << radius + 1) - 1
+    basis = [1 << i for i in range(radius + 1)]
+    vectors = [*basis, *(v for v in range(1, 1 << radius + 1) if v not in basis)]  # as many bits as a basis has leave no mask empty
     out = []
-    for v in range(1, vectors + 1):
-        mask = sum(1 << b for i, b in enumerate(bits) if (v & i % vectors + 1).bit_count() & 1)
+    for v in sorted(vectors):
+        mask = sum(1 << b for i, b in enumerate(bits) if (v & vectors[i % len(vectors)]).bit_count() & 1)
         out.append(mask - (1 << 64) if mask >> 63 else mask)
     return out
 
 
-def _keyed(rows: DataFrame, radius: int, level: int) -> DataFrame:
-    """(fp, t, key) of rows (fp) for each table t, or of rows (fp, t, key) for each mask of the bits that table t leaves free."""
-    first = masks(radius, list(range(64)))
-    if level == 1:
-        rows = rows.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in first])).alias("t", "mask"))
-        return rows.select("fp", "t", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-    free = [(t, j, m) for t, used in enumerate(first) for j, m in enumerate(masks(radius, [b for b in range(64) if not used >> b & 1]))]
-    table = rows.sparkSession.createDataFrame(free, "t int, j int, mask long")  # a row for each pair of tables
-    rows = rows.join(F.broadcast(table), "t")
-    return rows.select("fp", F.lit(-1).alias("t"), F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(fp, used, key) of rows (fp, used): the bucket of fingerprints that agree in the bits of the mask ``used``."""
+    return rows.select("fp", "used", F.xxhash64("used", F.col("fp").bitwiseAND(F.col("used"))).alias("key"))
+
+
+def _tables(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, used) for each of the first masks."""
+    first = F.array(*[F.lit(m).cast("long") for m in masks(radius, list(range(64)))])
+    return distinct.select("fp", F.explode(first).alias("used"))
+
+
+def _finer(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, used) for each mask of the bits that ``used`` leaves free of rows (fp, used); there are few different masks."""
+    finer = []
+    for r in rows.select("used").distinct().collect():
+        free = [b for b in range(64) if not r.used >> b & 1]
+        finer += [(r.used, r.used | m) for m in masks(radius, free)]
+    table = rows.sparkSession.createDataFrame(finer, "used long, finer long")
+    return rows.join(F.broadcast(table), "used").select("fp", F.col("finer").alias("used"))
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of differing bits of 64-bit numbers, signed or not; numpy counts those of a signed number's magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
 
 
 def _cluster(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -87,7 +106,7 @@ def _cluster(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
         group, todo = [rest[0]], [rest[0]]
         rest = rest[1:]
         while todo and len(rest):
-            near = np.bitwise_count(rest ^ todo.pop()) <= radius
+            near = _differing(rest, todo.pop()) <= radius
             found = rest[near]
             todo += list(found)
             group += list(found)
@@ -97,33 +116,36 @@ def _cluster(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return out
 
 
-def _buckets(rows: DataFrame, radius: int, last: bool) -> DataFrame:
-    """Edges (a, b) within buckets, and with t >= 0 the members (t, key a, fingerprint b) of those too large."""
+def _buckets(rows: DataFrame, radius: int) -> DataFrame:
+    """Edges (ALL, a, b) within the buckets of rows (fp, used, key), and the members (used, fp, null) of those too large.
+
+    Where no more than ``radius`` bits are free, all members are linked, and no bucket is too large.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 3), dtype=np.int64)
         over: int | None = None  # key of a bucket that is passed on
 
-        def out(t, a, b):
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (t, a, b)], names=["t", "a", "b"])
+        def passed(x: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 2]), pa.nulls(len(x), pa.int64())], names=["used", "a", "b"])
 
         def bucketed(x: np.ndarray) -> pa.RecordBatch:
             cut = np.flatnonzero(np.diff(x[:, 1])) + 1
             starts, sizes = np.concatenate([[0], cut]), np.diff(np.concatenate([[0], cut, [len(x)]]))
             two = starts[sizes == 2]
             a, b = x[two, 2], x[two + 1, 2]
-            near = np.bitwise_count(a ^ b) <= radius
+            near = _differing(a, b) <= radius
             edges = list(zip(a[near].tolist(), b[near].tolist(), strict=True))
             for i, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                edges += _cluster(x[i : i + n, 2], radius)
+                edges += _cluster(x[i : i + n, 2].copy(), radius)
             e = np.array(edges, dtype=np.int64).reshape(-1, 2)
-            return out(np.full(len(e), -1), e[:, 0], e[:, 1])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(e), ALL)), pa.array(e[:, 0]), pa.array(e[:, 1])], names=["used", "a", "b"])
 
         for batch in batches:
-            x = np.stack([batch.column(c).to_numpy() for c in ("t", "key", "fp")], axis=1).astype(np.int64)
+            x = np.stack([batch.column(c).to_numpy() for c in ("used", "key", "fp")], axis=1).astype(np.int64)
             if over is not None:
                 same = x[:, 1] == over
-                yield out(*x[same].T)
+                yield passed(x[same])
                 x = x[~same]
                 if not len(x):
                     continue
@@ -134,36 +156,47 @@ def _buckets(rows: DataFrame, radius: int, last: bool) -> DataFrame:
             other = x[:, 1] != x[-1, 1]
             split = len(x) - int(np.argmax(other[::-1])) if other.any() else 0
             if split:
-                yield bucketed(x[:split])
+                whole = x[:split]
+                sizes = np.unique(whole[:, 1], return_inverse=True, return_counts=True)
+                large = (sizes[2][sizes[1]] > BUCKET) & (64 - np.bitwise_count(whole[:, 0].copy().view(np.uint64)).astype(int) > radius)
+                yield passed(whole[large])
+                if not large.all():
+                    yield bucketed(whole[~large])
             held = x[split:]
-            if len(held) > BUCKET and not last:
+            if len(held) > BUCKET and 64 - (int(held[0, 0]) & (1 << 64) - 1).bit_count() > radius:
                 over = int(held[0, 1])
-                yield out(*held.T)
+                yield passed(held)
                 held = held[:0]
         if len(held):
             yield bucketed(held)
 
-    return rows.select(F.col("t").cast("long"), "key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(run, "t long, a long, b long")
+    return rows.select("used", "key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(run, "used long, a long, b long")
 
 
 def links(distinct: DataFrame, radius: int, folder: str) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (fp) that connect all within ``radius`` bits, without all pairs.
 
-    Keys of buckets that a sample shows to be hot (a HOT_SHARE-th of all rows or more, so at most so many;
-    the sample only chooses the way, never the result) are split before they are shuffled, other large buckets after.
+    Keys of buckets that a sample shows to be hot are split before they are shuffled, other large buckets after. The sample
+    only chooses the way, never the result; at most SAMPLE * HOT_SHARE keys can be above the bound, as each takes one in so
+    many of all rows.
     """
     tables = len(masks(radius, list(range(64))))
-    rows = _keyed(distinct, radius, 1)
-    seen = distinct.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(SAMPLE)) == 0)
-    seen = _keyed(seen, radius, 1).groupBy("key").count()
+    rows = _keyed(_tables(distinct, radius))
+    seen = _keyed(_tables(distinct.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(SAMPLE)) == 0), radius)).groupBy("key").count()
     most = max(BUCKET, distinct.count() * tables // HOT_SHARE)
-    hot = [r.key for r in seen.where(F.col("count") > most // SAMPLE).select("key").limit(SAMPLE * HOT_SHARE).collect()]
+    hot = [r.key for r in seen.where(F.col("count") > most // SAMPLE).select("key").collect()]
     hot = distinct.sparkSession.createDataFrame([(k,) for k in hot], "key long").withColumn("hot", F.lit(True))
     rows = rows.join(F.broadcast(hot), "key", "left")
-    first = stage(_buckets(rows.where("hot is null"), radius, last=False), f"{folder}/level-1")
-    again = rows.where("hot").select("fp", "t", "key").union(first.where("t >= 0").select(F.col("b").alias("fp"), F.col("t").cast("int"), F.col("a").alias("key")))
-    second = _buckets(_keyed(again, radius, 2), radius, last=True)
-    return first.where("t < 0").select("a", "b").union(second.select("a", "b"))
+    level = 1
+    found = stage(_buckets(rows.where("hot is null"), radius), f"{folder}/level-{level}")
+    edges = found.where("b is not null").select("a", "b")
+    again = rows.where("hot").select("fp", "used").union(found.where("b is null").select("a", "used"))
+    while again.limit(1).count():
+        level += 1
+        found = stage(_buckets(_keyed(_finer(again, radius)), radius), f"{folder}/level-{level}")
+        edges = edges.union(found.where("b is not null").select("a", "b"))
+        again = found.where("b is null").select(F.col("a").alias("fp"), "used")
+    return edges
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -180,7 +213,6 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
     total = each.count()
     distinct = stage(each.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")), f"{folder}/distinct")
     edges = stage(links(distinct.select("fp"), radius, folder), f"{folder}/links")
-    drop(spark, f"{folder}/level-1")
     label = components(edges, f"{folder}/components")
     distinct = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp").cast("string"))
     distinct = stage(distinct, f"{folder}/labelled")
@@ -191,24 +223,5 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
     return out.select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs``, with all their columns, but one for each group that ``simhash_groups`` finds.
-
-    The row with the group's smallest doc_id stays; among rows of that id, one with the smallest hash of its text. Where
-    a group has no doc_id at all, one text stays. Rows that repeat id and text come down to one.
-    """
-    spark = docs.sparkSession
-    folder = workspace(spark, "near")
-    groups = simhash_groups(docs.select("doc_id", "text"), shingle, radius)
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("?"), "fingerprint"))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.coalesce("text_hash", F.lit(0)).alias("hash")))
-    keep = groups.groupBy(group.alias("group")).agg(least.alias("k"), F.count("*").alias("rows"))
-    keep = stage(keep.select(F.coalesce(F.col("k.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("k.hash").alias("_hash")), f"{folder}/keep")
-    id_, hash_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(F.col("text").cast("string"))
-    rows = docs.select(F.struct("*").alias("_row"), id_.alias("_id"), hash_.alias("_hash")).join(keep, ["_id", "_hash"], "left_semi")
-    first = Window.partitionBy("_id", "_hash").orderBy("_id")
-    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("_row.*")
-
-
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")

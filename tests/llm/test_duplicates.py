@@ -59,18 +59,21 @@ def test_groups_equal_brute_force(spark):
         assert [rows[i].component_id for i in range(len(texts))] == label
 
 
-def test_hot_buckets_are_split(spark):
-    rng = random.Random(2)
-    near = [rng.getrandbits(64)]
-    near = [near[0] ^ sum(1 << b for b in rng.sample(range(40), 3)) for _ in range(300)]
-    signed = [n - (1 << 64) if n >> 63 else n for n in set(near)]
-    df = spark.createDataFrame([(n,) for n in signed], "fp long")
-    split = simhash._keyed(simhash._keyed(df, 2, 1), 2, 2)
-    edges = simhash._buckets(split, 2, last=True).select("a", "b").distinct()
+@pytest.mark.parametrize(("bucket", "share", "radius"), [(4096, 2000, 2), (5, 2000, 2), (5, 20, 2), (60, 2000, 3)])
+def test_links_at_every_level(spark, monkeypatch, bucket, share, radius):
+    """Large and hot buckets are split until they are small; bits of all places may differ, the highest too."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "HOT_SHARE", share)
+    monkeypatch.setattr(simhash, "SAMPLE", 1 if share == 20 else 64)
+    rng = random.Random(bucket + radius)
+    prints = {rng.getrandbits(64) for _ in range(60)}
+    for p in [*prints][:12]:
+        prints |= {p ^ sum(1 << b for b in rng.sample([63, *range(20)], rng.randint(1, 2 * radius))) for _ in range(25)}
+    signed = sorted(n - (1 << 64) if n >> 63 else n for n in prints)
+    edges = simhash.links(spark.createDataFrame([(n,) for n in signed], "fp long"), radius, workspace(spark, "l"))
     got = {r.node: r.label for r in components(edges, workspace(spark, "c")).collect()}
-    label = groups([n & (1 << 64) - 1 for n in sorted(signed)], 2)
-    want = {n: sorted(signed)[k] for n, k in zip(sorted(signed), label, strict=True)}
-    assert all(got.get(n, n) == want[n] for n in signed)
+    label = groups([n & (1 << 64) - 1 for n in signed], radius)
+    assert [got.get(n, n) for n in signed] == [signed[k] for k in label]
 
 
 def test_components_of_chains(spark):
@@ -85,10 +88,7 @@ def test_odd_rows(spark):
     by = Counter((r.doc_id, r.fingerprint, r.component_id) for r in rows)
     assert sum(by.values()) == len(ODD) and by[(5, format(fp(ODD[4][1]), "016x"), 5)] == 2
     assert {r.component_id for r in rows if r.fingerprint == "0" * 16} == {1}
-    kept = simhash.one_per_group(df)
-    assert kept.columns == df.columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 4, 5, 7, 8]
-    assert simhash.simhash_groups(df.limit(0)).count() == 0 and simhash.one_per_group(df.limit(0)).count() == 0
+    assert simhash.simhash_groups(df.limit(0)).count() == 0
 
 
 def brute(texts):
