@@ -7,6 +7,7 @@ which returns a dict with ``text_lines`` (dicts with text, confidence, bbox, pol
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -43,7 +44,7 @@ def _read(backend, image) -> dict:
 
 
 def recognized(images: DataFrame, factory: Callable[[], object], key: list[str], images_per_batch: int = 5) -> DataFrame:
-    """(key, result OCR, success, error) of images (key, height, width, channels, data); an error is a row's, not the job's."""
+    """(key, result OCR, success, error, seconds) of images (key, height, width, channels, data); an error is a row's, not the job's."""
     columns = images.select(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,20 +52,22 @@ def recognized(images: DataFrame, factory: Callable[[], object], key: list[str],
         for batch in batches:
             for start in range(0, len(batch), images_per_batch):
                 part = batch.slice(start, images_per_batch)
-                results, errors = [], []
+                results, errors, seconds = [], [], []
                 for row in part.select(["height", "width", "channels", "data"]).to_pylist():
+                    begin = time.perf_counter()
                     try:
                         results.append(_read(backend, as_image(row)))
                         errors.append(None)
                     except Exception as e:
                         results.append(None)
                         errors.append(f"{type(e).__name__}: {e}")
+                    seconds.append(time.perf_counter() - begin)
                 if hasattr(backend, "release"):
                     backend.release()
                 own = [part.column(k) for k in key]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(results, _RESULT), pa.array([e is None for e in errors]), pa.array(errors, pa.string())], names=[*key, "result", "success", "error"])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(results, _RESULT), pa.array([e is None for e in errors]), pa.array(errors, pa.string()), pa.array(seconds, pa.float64())], names=[*key, "result", "success", "error", "seconds"])
 
-    schema = columns.schema.add("result", OCR).add("success", "boolean").add("error", "string")
+    schema = columns.schema.add("result", OCR).add("success", "boolean").add("error", "string").add("seconds", "double")
     return images.select(*key, "height", "width", "channels", "data").mapInArrow(run, schema)
 
 

@@ -7,6 +7,8 @@ filters; equality with any particular imaging library, pixel by pixel, isn't cla
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 #: ITU-R BT.601 weights of red, green and blue.
@@ -19,10 +21,13 @@ def gray(image: np.ndarray) -> np.ndarray:
 
 
 def _convolved(a: np.ndarray, kernel: np.ndarray, axis: int) -> np.ndarray:
-    r = len(kernel) // 2
+    r, n = len(kernel) // 2, a.shape[axis]
     padded = np.pad(a, [(r, r) if k == axis else (0, 0) for k in range(2)], mode="edge")
-    n = a.shape[axis]
-    return sum(w * np.take(padded, range(i, i + n), axis=axis) for i, w in enumerate(kernel))
+    out, part = np.zeros_like(a), np.empty_like(a)
+    for i, w in enumerate(kernel.astype(a.dtype)):
+        np.multiply(padded[i : i + n] if axis == 0 else padded[:, i : i + n], w, out=part)
+        out += part
+    return out
 
 
 def adaptive_threshold(image: np.ndarray, block: int = 11, offset: float = 2) -> np.ndarray:
@@ -93,50 +98,58 @@ def line_positions(ink: np.ndarray, vertical: bool) -> list[int]:
     return np.flatnonzero(sums > 0.4 * ink.shape[0 if vertical else 1]).tolist()
 
 
-def labels(a: np.ndarray, diagonal: bool) -> tuple[np.ndarray, int]:
-    """Connected components of an image, numbered from 1, by union of the runs of neighbouring rows."""
-    h, w = a.shape
-    edge = np.diff(np.pad(a.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-    row, start = np.nonzero(edge == 1)
-    stop = np.nonzero(edge == -1)[1]
-    parent = np.arange(len(row))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    first = np.searchsorted(row, np.arange(h + 1))
-    reach = int(diagonal)
-    for y in range(1, h):
-        i, j = first[y - 1], first[y]
-        while i < first[y] and j < first[y + 1]:
-            if start[i] < stop[j] + reach and start[j] < stop[i] + reach:
-                x, z = root(i), root(j)
-                if x != z:
-                    parent[max(x, z)] = min(x, z)
-            if stop[i] < stop[j]:
-                i += 1
-            else:
-                j += 1
-    roots = np.array([root(i) for i in range(len(row))], dtype=np.int64)
-    number = np.unique(roots, return_inverse=True)[1] + 1 if len(roots) else roots
-    out = np.zeros((h, w), dtype=np.int64)
-    for y, s, e, k in zip(row.tolist(), start.tolist(), stop.tolist(), number.tolist(), strict=True):
-        out[y, s:e] = k
-    return out, int(number.max(initial=0))
-
-
-def _boxes(label: np.ndarray, n: int) -> list[tuple[int, int, int, int]]:
-    y, x = np.nonzero(label)
-    k = label[y, x] - 1
-    low = np.full((n, 2), np.iinfo(np.int64).max)
-    high = np.full((n, 2), -1)
-    for i, v in enumerate((x, y)):
-        np.minimum.at(low[:, i], k, v)
-        np.maximum.at(high[:, i], k, v)
-    return [(int(a), int(b), int(c - a + 1), int(d - b + 1)) for (a, b), (c, d) in zip(low, high, strict=True)]
+class Components:
+    """Connected components of an image as runs of its rows: run i covers start[i] .. stop[i] - 1 of row[i] and belongs to number[i]."""
+
+    def __init__(self, a: np.ndarray, diagonal: bool):
+        h, w = a.shape
+        edge = np.diff(np.pad(a.astype(np.int8), ((0, 0), (1, 1))), axis=1).ravel()
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.row, self.start = np.divmod(begin, w + 1)
+        self.stop = end - self.row * (w + 1)
+        # runs of the next row that touch a run, in coordinates where rows stand behind each other
+        stride, reach = w + 2, int(diagonal)
+        low = np.searchsorted(self.row * stride + self.stop + reach, (self.row + 1) * stride + self.start, side="right")
+        high = np.searchsorted(self.row * stride + self.start, (self.row + 1) * stride + self.stop + reach, side="left")
+        count = np.maximum(high - low, 0)
+        upper = np.repeat(np.arange(len(begin)), count)
+        lower = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        root = np.arange(len(begin))
+        while len(upper):
+            x, y = root[upper], root[lower]
+            apart = x != y
+            if not apart.any():
+                break
+            upper, lower, x, y = upper[apart], lower[apart], x[apart], y[apart]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while (root[root] != root).any():
+                root = root[root]
+        kinds, self.number = np.unique(root, return_inverse=True)
+        self.n = len(kinds)
+
+    def boxes(self) -> np.ndarray:
+        """Rows (x, y, w, h) around the components."""
+        low, high = np.full((self.n, 2), np.iinfo(np.int64).max), np.zeros((self.n, 2), dtype=np.int64)
+        for i, (first, last) in enumerate(((self.start, self.stop), (self.row, self.row + 1))):
+            np.minimum.at(low[:, i], self.number, first)
+            np.maximum.at(high[:, i], self.number, last)
+        return np.concatenate([low, high - low], axis=1)
+
+    def masks(self) -> Iterator[tuple[tuple[int, int, int, int], np.ndarray]]:
+        """Each component's box and its pixels there."""
+        order = np.argsort(self.number, kind="stable")
+        cut = np.flatnonzero(np.diff(self.number[order])) + 1
+        for (x, y, w, h), runs in zip(self.boxes().tolist(), np.split(order, cut) if len(order) else [], strict=True):
+            mask = np.zeros((h, w), dtype=bool)
+            for r, s, e in zip((self.row[runs] - y).tolist(), (self.start[runs] - x).tolist(), (self.stop[runs] - x).tolist(), strict=True):
+                mask[r, s:e] = True
+            yield (x, y, w, h), mask
+
+
+def _holes(boxes: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Which background components don't reach the image's border."""
+    x, y, w, h = boxes.T
+    return (x > 0) & (y > 0) & (x + w < shape[1]) & (y + h < shape[0])
 
 
 def component_boxes(ink: np.ndarray, holes: bool = True) -> list[tuple[int, int, int, int]]:
@@ -144,13 +157,11 @@ def component_boxes(ink: np.ndarray, holes: bool = True) -> list[tuple[int, int,
 
     These are the rectangles around the outer and inner border curves of the image.
     """
-    out = _boxes(*labels(ink, diagonal=True))
+    out = Components(ink, diagonal=True).boxes()
     if holes:
-        label, n = labels(~ink, diagonal=False)
-        border = set(np.concatenate([label[0], label[-1], label[:, 0], label[:, -1]]).tolist())
-        found = _boxes(label, n)
-        out += [(x - 1, y - 1, w + 2, h + 2) for k, (x, y, w, h) in enumerate(found, 1) if k not in border]
-    return sorted(out, key=lambda b: (b[1], b[0], b[2], b[3]))
+        found = Components(~ink, diagonal=False).boxes()
+        out = np.concatenate([out, found[_holes(found, ink.shape)] + [-1, -1, 2, 2]])
+    return sorted(map(tuple, out.tolist()), key=lambda b: (b[1], b[0], b[2], b[3]))
 
 
 _TURNS = [(0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1), (-1, 0), (-1, 1)]  # clockwise from east, as (dy, dx)
@@ -212,16 +223,55 @@ def simplified(curve: np.ndarray, tolerance: float) -> np.ndarray:
     return ring[sorted(keep)]
 
 
-def contours(ink: np.ndarray) -> list[dict]:
-    """Outer contours: box, area of the border polygon, and vertices when simplified to a fiftieth of the perimeter."""
-    label, n = labels(ink, diagonal=True)
+def contours(ink: np.ndarray, holes: bool = False) -> list[dict]:
+    """Contours: box, area of the border polygon, and vertices when simplified to a fiftieth of the perimeter.
+
+    They are the outer border curves, and with ``holes`` those around enclosed background too, which run over the ink beside it.
+    """
+    every = list(Components(ink, diagonal=True).masks())
+    if holes:
+        for (x, y, w, h), mask in Components(~ink, diagonal=False).masks():
+            if x > 0 and y > 0 and x + w < ink.shape[1] and y + h < ink.shape[0]:
+                m = np.pad(mask, 1)
+                every.append(((x - 1, y - 1, w + 2, h + 2), np.logical_or.reduce([m, *[_shifted(m, a, b, False) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))]])))
     out = []
-    for k, (x, y, w, h) in enumerate(_boxes(label, n), 1):
-        curve = outer_curve(label[y : y + h, x : x + w] == k)
+    for (x, y, w, h), mask in every:
+        curve = outer_curve(mask)
         out.append({"x": x, "y": y, "w": w, "h": h, "area": polygon_area(curve), "n_vertices": len(simplified(curve, 0.02 * perimeter(curve)))})
     return out
 
 
+def largest_contour(ink: np.ndarray) -> tuple[int, int, int, int] | None:
+    """Box of the outer contour of the largest polygon area, the first in reading order among equals; None without ink.
+
+    A polygon is no larger than its box, so components are traced in falling order of boxes while one may still be larger.
+    """
+    parts = Components(ink, diagonal=True)
+    boxes = parts.boxes()
+    best, found = -1.0, None
+    for k in np.lexsort((boxes[:, 0], boxes[:, 1], -boxes[:, 2] * boxes[:, 3])).tolist():
+        x, y, w, h = boxes[k].tolist()
+        if w * h < best:
+            break
+        mask = np.zeros((h, w), dtype=bool)
+        for i in np.flatnonzero(parts.number == k).tolist():
+            mask[parts.row[i] - y, parts.start[i] - x : parts.stop[i] - x] = True
+        area = polygon_area(outer_curve(mask))
+        if area > best or area == best and (y, x) < (found[1], found[0]):
+            best, found = area, (x, y, w, h)
+    return found
+
+
+def page_content(image: np.ndarray, pad: int = 20) -> np.ndarray:
+    """A page cut to its largest contour and a margin, which beside an edge goes to the other side; the whole page without one."""
+    box = largest_contour(adaptive_threshold(gray(image)))
+    if box is None:
+        return image
+    h, w = image.shape[:2]
+    x, y = max(0, box[0] - pad), max(0, box[1] - pad)
+    return image[y : y + min(h - y, box[3] + 2 * pad), x : x + min(w - x, box[2] + 2 * pad)]
+
+
 def painted(image: np.ndarray, boxes: list[tuple[int, int, int, int]], pad: int = 2, fill: tuple[int, int, int] = (255, 255, 255)) -> np.ndarray:
     """A copy with boxes (x1, y1, x2, y2) and their padding filled; gray turns 255, a fourth channel opaque."""
     out = image.copy()
@@ -241,5 +291,5 @@ def cleaned(image: np.ndarray) -> np.ndarray:
         if x2 > x1 and y2 > y1:
             image = image[y1:y2, x1:x2]
     most = 0.9 * image.shape[0] * image.shape[1]
-    inner = [c for c in contours(close(otsu_threshold(gray(image)))) if c["w"] >= 20 and c["h"] >= 20 and c["w"] * c["h"] <= most and c["n_vertices"] == 4]
+    inner = [c for c in contours(close(otsu_threshold(gray(image))), holes=True) if c["w"] >= 20 and c["h"] >= 20 and c["w"] * c["h"] <= most and c["n_vertices"] == 4]
     return painted(image, [(c["x"], c["y"], c["x"] + c["w"], c["y"] + c["h"]) for c in sorted(inner, key=lambda c: (c["y"], c["x"]))])

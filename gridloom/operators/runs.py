@@ -93,3 +93,36 @@ def chosen_workers(asked: int | None, recommended: int, cpus: int, clamp: bool)
 def document_workers(cpus: int, documents: int, most: int | None = None) -> int:
     """All processors but one, no more than documents, nor than ``most``."""
     return min(x for x in (cpus - 1 or 1, documents, most) if x is not None)
+
+
+def preprocess_stats(documents: DataFrame, images: DataFrame) -> DataFrame:
+    """PREPROCESS rows of (pdf_name, pdf_path, cleaned_dir) and of saved images (pdf_name, first boolean, seconds).
+
+    ``first`` marks what page 1 left. A document without other images succeeds if that one was saved; one that
+    left none fails, with no folder. Seconds are the sum of its images'.
+    """
+    saved = images.groupBy("pdf_name").agg(F.count_if(~F.col("first")).alias("cleaned"), F.count_if("first").alias("firsts"), F.sum("seconds").alias("time_taken"))
+    none = F.lit(0).cast("long")
+    out = documents.join(saved, "pdf_name", "left").withColumns({"cleaned": F.coalesce("cleaned", none), "page_1_saved": F.coalesce(F.col("firsts") > 0, F.lit(False)), "time_taken": F.coalesce("time_taken", F.lit(0.0))})
+    good = (F.col("cleaned") > 0) | F.col("page_1_saved")
+    return out.select("pdf_name", "pdf_path", F.col("cleaned").alias("total_voters"), "cleaned", "page_1_saved", F.when(good, F.col("cleaned_dir")).alias("cleaned_dir"), good.alias("preprocess_success"), "time_taken")
+
+
+def ocr_stats(documents: DataFrame, outcomes: DataFrame, legacy_unified: bool = SETTINGS.legacy_unified) -> DataFrame:
+    """OCR_STATS rows of documents (pdf_name) and outcomes of images (pdf_name, first boolean, ok, seconds).
+
+    What page 1 left is told apart and not counted as an image. In legacy mode it is one too, so it is read and counted
+    twice, and whatever was written counts as read.
+    """
+    good = F.lit(True) if legacy_unified else F.col("ok")
+    image = F.lit(True) if legacy_unified else ~F.col("first")
+    seconds = F.sum(F.when(F.col("first"), 2 * F.col("seconds")).otherwise(F.col("seconds")) if legacy_unified else F.col("seconds"))
+    found = outcomes.groupBy("pdf_name").agg(F.count_if(image & good).alias("ocr_successful"), F.count_if(image & ~good).alias("ocr_failed"), F.count_if(F.col("first") & good).alias("firsts"), seconds.alias("time_taken"))
+    none = F.lit(0).cast("long")
+    out = documents.select("pdf_name").join(found, "pdf_name", "left")
+    return out.select("pdf_name", F.coalesce("ocr_successful", none).alias("ocr_successful"), F.coalesce("ocr_failed", none).alias("ocr_failed"), F.coalesce(F.col("firsts") > 0, F.lit(False)).alias("page_1_ocr_successful"), F.coalesce("time_taken", F.lit(0.0)).alias("time_taken"))
+
+
+def block_counts(blocks: DataFrame, document: str, page: str) -> DataFrame:
+    """Number of blocks by page, and with a null page by document, in one pass."""
+    return blocks.groupingSets([[document, page], [document]], document, page).agg(F.count("*").alias("n_blocks"))

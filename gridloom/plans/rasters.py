@@ -43,6 +43,7 @@ def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def raster_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One drawn page for each supplier: detected, deduplicated and numbered blocks."""
     pages = spark.read.parquet(f"{sf_dir}/supplier.parquet").select((F.col("s_suppkey") % 10).alias("doc"), F.col("s_suppkey").alias("page"))
-    boxes = pages.repartition("page").mapInArrow(_detect, "doc long, page long, x long, y long, w long, h long")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the rows are too small to tell how long their pages take
+    boxes = pages.repartition(parts, "page").mapInArrow(_detect, "doc long, page long, x long, y long, w long, h long")
     kept = b.deduplicated(b.contour_candidates(boxes, DRAWN_W, DRAWN_H), ["doc", "page"])
     return b.numbered(kept, ["doc"], ["page", "idx"]).select("doc", "page", "idx", "voter_no", "x", "y", "w", "h")

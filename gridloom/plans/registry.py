@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as g
 from gridloom.functions import text as t
+from gridloom.functions.folds import keep_apart
 from gridloom.operators import blocks as b
 from gridloom.operators import grid, runs
 from gridloom.plans import surrogates as s
@@ -74,10 +75,16 @@ def strict_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def method_fallback(spark: SparkSession, d: str) -> DataFrame:
-    """An order to a page, so that many pages have no block from contours."""
-    found = b.deduplicated(_candidates(spark, d, 1), ["doc", "page"]).select("page", "x", "y", "w", "h", F.lit("contour").alias("method"))
-    cells = b.strict_if_many(_grid_blocks(spark, d, 1), ["doc", "page"])
-    return b.first_non_empty(found, cells.select("page", F.col("x1").alias("x"), F.col("y1").alias("y"), "w", "h", F.lit("grid").alias("method")), ["page"])
+    """An order to a page, so that many pages have no block from contours. A page's boxes meet once: candidates and lines are of one row."""
+    boxes = s.boxes(spark, d, 1).withColumn("c", g.padded("x", "y", "w", "h", F.lit(W), F.lit(H)))
+    block = F.struct("y", "x", "w", "h", (F.col("c.y2") - F.col("c.y1")).alias("ph"), (F.col("c.x2") - F.col("c.x1")).alias("pw"))
+    some = F.array_sort(F.collect_list(F.when(g.is_contour_block("w", "h", F.lit(W), F.lit(H)), block)))
+    pages = boxes.groupBy("doc", "page").agg(some.alias("b"), F.array_sort(F.collect_set("y")).alias("h"), F.array_sort(F.collect_set("x")).alias("v"))
+    pages = pages.withColumn("_found", F.size("b") > 0)
+    found = pages.where("_found").select("page", F.explode(keep_apart(F.col("b"))).alias("k")).select("page", "k.x", "k.y", "k.w", "k.h", F.lit("contour").alias("method"))
+    lines = pages.where("not _found").select("doc", "page", grid.merge_close(F.col("h"), SETTINGS.horizontal_gap).alias("h_lines"), grid.merge_close(F.col("v"), SETTINGS.vertical_gap).alias("v_lines"))
+    cells = b.strict_if_many(grid.grid_blocks(grid.grid_cells(grid.viable(lines), ["doc", "page"])), ["doc", "page"])
+    return found.unionByName(cells.select("page", F.col("x1").alias("x"), F.col("y1").alias("y"), "w", "h", F.lit("grid").alias("method")))
 
 
 def _largest_contour(spark: SparkSession, d: str) -> DataFrame:
@@ -151,10 +158,9 @@ def chunk_per_pdf(spark: SparkSession, d: str) -> DataFrame:
 
 
 def batch_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What was written is every row, so the legacy count is the total."""
     chunks = runs.chunks_by_document(s.outcomes(spark, d), ["user_id"], ["event_id"])
-    honest = runs.outcome_counts(chunks, ["user_id", "chunk"])
-    legacy = runs.outcome_counts(chunks, ["user_id", "chunk"], legacy_unified=True).select("user_id", "chunk", F.col("success").alias("legacy_success"))
-    return honest.join(legacy, ["user_id", "chunk"])
+    return runs.outcome_counts(chunks, ["user_id", "chunk"], legacy_unified=False).withColumn("legacy_success", F.col("total"))
 
 
 def success_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -180,6 +186,33 @@ def documents_read(spark: SparkSession, d: str) -> DataFrame:
     return runs.documents_with_text(per)
 
 
+def page_1_box(spark: SparkSession, d: str) -> DataFrame:
+    """The page's content by the contour of the largest area, the first among equals, cut to the page."""
+    boxes = s.boxes(spark, d).withColumn("area", F.col("w") * F.col("h") * F.col("n_vertices") / 8)
+    box = g.page_box("x", "y", "w", "h", F.lit(W), F.lit(H))
+    found = b.largest(boxes, ["page"], F.col("area"), ["y", "x", "w", "h"]).select("page", "area", box.alias("b")).select("page", "area", "b.*")
+    return found.select("page", "area", g.clamped("x", "y", "w", "h", F.lit(W), F.lit(H)).alias("c")).select("page", "area", "c.*")
+
+
+def block_counts(spark: SparkSession, d: str) -> DataFrame:
+    return runs.block_counts(b.deduplicated(_candidates(spark, d), ["doc", "page"]), "doc", "page")
+
+
+def _accounted(spark: SparkSession, d: str) -> DataFrame:
+    name = F.col("pdf_name")
+    return s.manifest(spark, d).select(name, F.concat(F.lit("in/"), name, F.lit(".pdf")).alias("pdf_path"), F.concat(F.lit("clean/"), name).alias("cleaned_dir"))
+
+
+def preprocess_stats(spark: SparkSession, d: str) -> DataFrame:
+    return runs.preprocess_stats(_accounted(spark, d), s.images(spark, d).where("ok"))
+
+
+def ocr_stats(spark: SparkSession, d: str) -> DataFrame:
+    legacy = runs.ocr_stats(_accounted(spark, d), s.images(spark, d), legacy_unified=True)
+    legacy = legacy.select("pdf_name", F.col("ocr_successful").alias("legacy_successful"), F.col("time_taken").alias("legacy_time"))
+    return runs.ocr_stats(_accounted(spark, d), s.images(spark, d), legacy_unified=False).join(legacy, "pdf_name")
+
+
 def elapsed_fmt(spark: SparkSession, d: str) -> DataFrame:
     seconds = F.col("event_id") % 9000 + F.col("seconds")
     return s.outcomes(spark, d).select("event_id", t.elapsed(seconds).alias("short"), t.elapsed_long(seconds).alias("long"))
@@ -212,7 +245,7 @@ QUERIES = {
         page_range_filter, contour_candidates, greedy_dedup, block_numbering, merge_lines_h, merge_lines_v, grid_cells, grid_cells_filtered,
         strict_filter, method_fallback, page_contour_box, crop_clamp, outer_border, border_crop, inner_boxes, fill_boxes, split_lr, ocr_text, ocr_json,
         chunk_global, chunk_per_pdf, batch_counts, success_totals, pdf_batches, phase_semi_join, run_summary, documents_read, elapsed_fmt,
-        artifact_names, file_order, worker_plan, raster_blocks,
+        artifact_names, file_order, worker_plan, raster_blocks, page_1_box, block_counts, preprocess_stats, ocr_stats,
     )
 }
 
@@ -310,5 +343,20 @@ ORACLES: dict[str, str] = {
     "artifact_names": f"WITH {_FILES} SELECT doc, number, file_name, file_name[:len(file_name) - 4] AS stem, 'pdf.' || doc AS parent FROM files",
     "file_order": f"""WITH {_FILES} SELECT doc, number, file_name, row_number() OVER (PARTITION BY doc ORDER BY file_name) AS legacy_place,
         row_number() OVER (PARTITION BY doc ORDER BY number) AS place FROM files""",
+    "raster_blocks": """WITH p AS (SELECT s_suppkey % 10 AS doc, s_suppkey AS page, unnest(generate_series(0, s_suppkey % 7 - 1)) AS i FROM supplier WHERE s_suppkey % 7 > 0)
+        SELECT doc, page, i::INTEGER AS idx, row_number() OVER (PARTITION BY doc ORDER BY page, i) AS voter_no, 40 + 430 * (i % 2) AS x, 40 + 310 * (i // 2) AS y,
+        260 + page * 13 % 120 AS w, 120 + page * 7 % 90 AS h FROM p""",
+    "page_1_box": f"""WITH {_boxes()}, a AS (SELECT page, x, y, w, h, w * h * n_vertices / 8 AS area FROM boxes
+        QUALIFY row_number() OVER (PARTITION BY page ORDER BY w * h * n_vertices DESC, y, x, w, h) = 1),
+        c AS (SELECT page, area, greatest(0, x - 20) AS x, greatest(0, y - 20) AS y, least({W} - greatest(0, x - 20), w + 40) AS w, least({H} - greatest(0, y - 20), h + 40) AS h FROM a)
+        SELECT page, area, greatest(0, least(x, {W})) AS x1, greatest(0, least(y, {H})) AS y1, greatest(0, least(x + w, {W})) AS x2, greatest(0, least(y + h, {H})) AS y2 FROM c""",
+    "block_counts": f"WITH RECURSIVE {_boxes()}, {_DEDUP} SELECT doc, page, count(*) AS n_blocks FROM blocks GROUP BY GROUPING SETS ((doc, page), (doc))",
+    "preprocess_stats": f"""WITH {s.SQL_MANIFEST}, {s.SQL_IMAGES}, n AS (SELECT pdf_name, count(*) FILTER (NOT first) AS cleaned, count(*) FILTER (first) > 0 AS page_1, sum(seconds) AS t FROM images WHERE ok GROUP BY pdf_name)
+        SELECT pdf_name, 'in/' || pdf_name || '.pdf' AS pdf_path, coalesce(cleaned, 0) AS total_voters, coalesce(cleaned, 0) AS cleaned, coalesce(page_1, false) AS page_1_saved,
+        CASE WHEN cleaned > 0 OR page_1 THEN 'clean/' || pdf_name END AS cleaned_dir, coalesce(cleaned > 0 OR page_1, false) AS preprocess_success, coalesce(t, 0) AS time_taken FROM manifest LEFT JOIN n USING (pdf_name)""",
+    "ocr_stats": f"""WITH {s.SQL_MANIFEST}, {s.SQL_IMAGES}, n AS (SELECT pdf_name, count(*) FILTER (NOT first AND ok) AS good, count(*) FILTER (NOT first AND NOT ok) AS bad, count(*) FILTER (first AND ok) > 0 AS page_1,
+            sum(seconds) AS t, count(*) AS every, sum(CASE WHEN first THEN 2 ELSE 1 END * seconds) AS t2 FROM images GROUP BY pdf_name)
+        SELECT pdf_name, coalesce(good, 0) AS ocr_successful, coalesce(bad, 0) AS ocr_failed, coalesce(page_1, false) AS page_1_ocr_successful, coalesce(t, 0) AS time_taken,
+        coalesce(every, 0) AS legacy_successful, coalesce(t2, 0) AS legacy_time FROM manifest LEFT JOIN n USING (pdf_name)""",
     "worker_plan": f"WITH {s.SQL_OUTCOMES} SELECT event_id, {_workers(True)} AS workers, {_workers(False)} AS staged_workers FROM outcomes",
 }

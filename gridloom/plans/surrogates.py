@@ -58,8 +58,15 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pdf_name, first, ok, seconds): images of the manifest's documents; what has line number 7 comes from page 1."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return rows.select(F.concat(F.lit("pdf_"), F.col("l_orderkey").cast("string")).alias("pdf_name"), (F.col("l_linenumber") == 7).alias("first"), (F.col("l_returnflag") != "R").alias("ok"), F.floor("l_quantity").cast("long").cast("double").alias("seconds"))
+
+
 #: The same tables for the SQL side; {n} is the number of orders on a page.
 SQL_BOXES = f"""boxes AS (SELECT (l_orderkey // {{n}}) // 20 AS doc, l_orderkey // {{n}} AS page, {BOX_COLUMNS} FROM lineitem)"""
 SQL_MANIFEST = "manifest AS (SELECT 'pdf_' || o_orderkey AS pdf_name, o_custkey % 12 + 1 AS n_pages, o_orderkey, o_custkey, o_orderstatus FROM orders)"
 SQL_OUTCOMES = """cents AS (SELECT *, floor(abs(value) * 100)::BIGINT AS c FROM events),
 outcomes AS (SELECT event_id, user_id, event_type <> 'error' AS ok, c / 100 AS seconds, (c % 2400) / 100 AS free_gb, user_id % 101 AS utilization FROM cents)"""
+SQL_IMAGES = """images AS (SELECT 'pdf_' || l_orderkey AS pdf_name, l_linenumber = 7 AS first, l_returnflag <> 'R' AS ok, floor(l_quantity)::BIGINT::DOUBLE AS seconds FROM lineitem)"""

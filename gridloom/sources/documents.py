@@ -52,11 +52,13 @@ def relevant(page_no: Column, n_pages: Column) -> Column:
     return (page_no >= 3) & (page_no < n_pages)
 
 
-def rendered_pages(files: DataFrame, renderer: Renderer, which: str = "relevant", dpi: int = SETTINGS.dpi) -> DataFrame:
-    """PAGE rows, one a page: ``relevant``, ``first`` or ``all``. Pages are chosen before anything is rendered, and each
+def rendered_pages(files: DataFrame, renderer: Renderer, which: str | tuple[int, int] = "relevant", dpi: int = SETTINGS.dpi) -> DataFrame:
+    """PAGE rows, one a page: ``relevant``, ``first``, ``all``, or from one number up to but not with another. Pages are chosen before anything is rendered, and each
     is rendered once; a page is a batch of its own, as it may have 50 MB. Documents that fail give no pages."""
 
     def wanted(n: int) -> list[int]:
+        if isinstance(which, tuple):
+            return list(range(max(1, which[0]), min(which[1], n + 1)))
         return {"relevant": list(range(3, n)), "first": [1][:n], "all": list(range(1, n + 1))}[which]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

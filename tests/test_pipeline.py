@@ -11,7 +11,7 @@ from gridloom.operators import ocr
 from gridloom.operators.devices import device_stats
 from gridloom.plans import extraction
 from gridloom.plans.rasters import drawn
-from gridloom.settings import OUTCOME
+from gridloom.settings import OCR_STATS, OUTCOME, PREPROCESS
 from gridloom.sources import documents as s
 from gridloom.sources.files import png, remove_files, text_files, write_named
 from gridloom.streaming.files import arriving_documents, process_arriving
@@ -45,6 +45,23 @@ def test_documents_to_texts(spark, tmp_path):
     assert all(r.success and r.text.endswith("\nend") for r in rows)
 
 
+def test_two_phases_keep_accounts(spark, tmp_path):
+    make(tmp_path)
+    (tmp_path / "none.pdf").write_text(json.dumps({"seed": 1, "pages": 0}))
+    files = s.documents(spark, str(tmp_path), content=True)
+    for legacy in (False, True):
+        images, stats = extraction.preprocessed(files, Renderer(), legacy)
+        texts, read = extraction.read_texts(images, stats, reader, legacy)
+        assert set(stats.columns) == set(PREPROCESS.fieldNames()) and set(read.columns) == set(OCR_STATS.fieldNames())
+        n = {"a": 4 % 7 + 5 % 7, "b": 6 % 7, "broken": 0, "none": 0}
+        got = {r.pdf_name: (r.cleaned, r.page_1_saved, r.preprocess_success, r.cleaned_dir is not None) for r in stats.collect()}
+        assert got == {k: (c, k in "ab", k in "ab", k in "ab") for k, c in n.items()}
+        found = {r.pdf_name: (r.ocr_successful, r.ocr_failed, r.page_1_ocr_successful) for r in read.collect()}
+        assert found == {k: (n[k] + legacy, 0, True) for k in "ab"}
+        assert {(r.pdf_name, r.file_name) for r in texts.where("first").collect()} == {("a", "page_1.jpg"), ("b", "page_1.jpg")}
+    assert sorted(r.page_no for r in s.rendered_pages(files, Renderer(), (2, 4)).where("pdf_name = 'a'").collect()) == [2, 3]
+
+
 def test_pages_without_contours_use_their_lines(spark):
     page = np.full((1400, 1400), 255, dtype=np.uint8)
     page[[250, 251, 252, 500, 501, 502], :] = 0

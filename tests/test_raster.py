@@ -57,7 +57,10 @@ def test_labels_against_flood_fill():
     rng = np.random.default_rng(1)
     for diagonal in (False, True):
         a = rng.random((30, 40)) < 0.45
-        got, n = r.labels(a, diagonal)
+        parts = r.Components(a, diagonal)
+        got, n = np.zeros(a.shape, dtype=int), parts.n
+        for k, ((x, y, w, h), mask) in enumerate(parts.masks(), 1):
+            got[y : y + h, x : x + w][mask] = k
         seen, count = np.zeros_like(got), 0
         near = [(0, 1), (1, 0), (0, -1), (-1, 0)] + [(1, 1), (1, -1), (-1, 1), (-1, -1)] * diagonal
         for p in zip(*np.nonzero(a), strict=True):
@@ -86,3 +89,27 @@ def test_fill_by_channels():
     assert r.painted(np.zeros((9, 9, 3), dtype=np.uint8), [(3, 3, 5, 5)], fill=(1, 2, 3))[4, 4].tolist() == [1, 2, 3]
     assert r.painted(np.zeros((9, 9, 4), dtype=np.uint8), [(3, 3, 5, 5)])[4, 4].tolist() == [255] * 4
     assert r.gray(np.dstack([np.full((2, 2), v, dtype=np.uint8) for v in (255, 0, 0)])).tolist() == [[76, 76], [76, 76]]
+
+
+def test_boxes_inside_a_ruled_table_are_painted():
+    """Cells are holes of one component, whose own outline is no rectangle."""
+    a = page(300, 400)
+    for y in (40, 100, 160):
+        a[y : y + 3, 50:253] = 0
+    for x in (50, 150, 250):
+        a[40:163, x : x + 3] = 0
+    a[160:163, 50:340] = 0  # a line goes on beyond the table
+    a[60:80, 70:100] = 90
+    cells = [c for c in r.contours(a == 0, holes=True) if c["n_vertices"] == 4 and c["w"] > 80]
+    assert {(c["x"], c["y"], c["w"], c["h"]) for c in cells} >= {(52, 42, 99, 59), (152, 42, 99, 59)}
+    assert (r.cleaned(a)[60:80, 70:100] == 255).all()
+
+
+def test_largest_contour_is_the_page():
+    a = rule(page(), 60, 80, 200, 300, t=2)
+    a[10:14, 10:490] = 0
+    assert r.largest_contour(a == 0) == (80, 60, 300, 200)
+    assert r.page_content(a).shape == (240, 340) and r.page_content(page()).shape == (400, 500)
+    b = page()
+    b[0:100, 5:300] = 0
+    assert r.page_content(b, 20).shape == (140, 335)
