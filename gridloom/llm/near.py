@@ -1,12 +1,15 @@
-"""Near copies: groups linked by an exact similarity of word shingles, found without all pairs.
+"""SimHash near-dedup of similar texts: covering masks propose pairs, an exact similarity of word shingles decides.
 
-Texts with equal sets of shingles are one. Each set has MinHash values in bands of ROWS; sets that agree in a
-band meet in a bucket, where pairs are screened by all their values. What passes is a candidate only: a pair is
-linked if the Jaccard similarity of the whole sets is at least ``SIMILAR``. A pair of exactly that similarity
-misses every bucket or the screen with a probability below 1e-6, a closer one less.
+Texts with equal sets of shingles are one. Each set has a SimHash fingerprint of WORDS 64-bit words, cut into pieces of
+PIECE bits; the covering masks of ``simhash`` for RADIUS bits make tables over each piece. Sets that agree in a table meet
+in a bucket, where pairs are screened by SCREEN words. What passes is a candidate only: a pair is linked if the
+Jaccard similarity of the whole sets is at least ``SIMILAR``.
 
-Connected groups are wanted, not all their pairs. So a first round holds each set of a bucket against few others, and
-later ones only sets that aren't connected yet, nearest first, in growing numbers until no pair is left.
+A pair within RADIUS bits in some piece, so any pair within 95 of all 1024 bits, is found for certain. Pairs at the least similarity
+differ in about 155 bits, spread by chance: one in some 5000 of them meets in no table, one in 700,000 at 0.85.
+
+Connected groups are wanted, not all their pairs. So a first round links each set of a bucket to the first one near it, and
+later ones hold sets that aren't connected yet against others, nearest first, in growing numbers until no pair is left.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .shared import drop, join_skewed, stage, workspace
+from .shared import HOT_SHARE, drop, join_skewed, join_small, small_batches, stage, workspace
+from .simhash import SAMPLE, _differing, masks
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -28,18 +32,24 @@ SHINGLE = 5
 #: Least similarity of a link, as a fraction of integers.
 SIMILAR = (4, 5)
 
-#: Bands, MinHash values in each, and values of all that must agree before a pair is verified.
-BANDS, ROWS, AGREE = 20, 3, 30
+#: 64-bit words of a fingerprint; bits of a piece, and the radius that its masks cover.
+WORDS, PIECE, RADIUS = 16, 32, 2
+
+#: Words by which pairs are screened, and bits of them that may differ: five deviations above a pair of the least similarity.
+SCREEN, FAR = 2, 40
+
+#: Sets of a bucket that are held before they are reduced to those far from each other; parts of a hot bucket.
+BUCKET, SALTS = 1 << 16, 256
 
 #: Sets verified against one copy of another.
 CHUNK = 64
 
 #: Pairs by which a set asks for others in the second round; each later round has four times as many.
-NEAREST = 4
+NEAREST = 16
 
-_RANDOM = np.random.default_rng(20)
-_XOR = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64)
-_ODD = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
+_XOR = np.random.default_rng(20).integers(0, 1 << 64, WORDS, dtype=np.uint64)
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_MASKS = [m for start in range(0, 64, PIECE) for m in masks(RADIUS, list(range(start, start + PIECE)))]
 
 
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -57,12 +67,15 @@ def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((hash_(whole[a:b], 42) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=len(starts)))
 
 
-def signature(x: np.ndarray) -> np.ndarray:
-    """MinHash values of a set of hashes; those of the empty set are the greatest."""
-    out = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+def fingerprint(x: np.ndarray) -> np.ndarray:
+    """WORDS words of a set of hashes: a bit is 1 if set in over half of the words that a hash turns to; 0 of the empty set."""
+    ones = np.zeros(64 * WORDS, dtype=np.int64)
     for i in range(0, len(x), 4096):
-        np.minimum(out, ((x[i : i + 4096] ^ _XOR) * _ODD).min(axis=1), out=out)
-    return out
+        h = (x[i : i + 4096, None] ^ _XOR) * _ODD
+        h = (h ^ h >> np.uint64(32)) * _ODD
+        h ^= h >> np.uint64(29)
+        ones += np.unpackbits(h.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(x), bitorder="little").view("<u8").astype(np.uint64)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -76,99 +89,172 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, id, size, bands, sketch) of rows (doc_id, text_hash, text): id is a hash of the set of shingles."""
+    """(doc_id, text_hash, id, size, words) of rows (doc_id, text_hash, text): id is a hash of the set of shingles, words its fingerprint."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<id: bigint, size: int, words: array<bigint>>")
+    def run(texts: pa.Array) -> pa.Array:
         import xxhash
 
-        for batch in (b.slice(i, 1000) for b in batches for i in range(0, len(b), 1000)):
-            ids, sizes, bands, bytes_ = [], [], [], []
-            for t in batch.column("text"):
-                x = shingles(t.as_py())
-                values = signature(x)
-                ids.append(xxhash.xxh64_intdigest(x.tobytes(), 7))
-                sizes.append(len(x))
-                bands.append([xxhash.xxh64_intdigest(values[i : i + ROWS].tobytes(), i) for i in range(0, len(values), ROWS)])
-                bytes_.append((values & np.uint64(255)).astype(np.uint8).tobytes())
-            n = len(ids)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), _signed(np.array(bands, dtype=np.uint64).reshape(-1)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), _signed(np.array(ids, dtype=np.uint64)), pa.array(sizes, pa.int32()), lists, pa.array(bytes_, pa.binary())],
-                names=["doc_id", "text_hash", "id", "size", "bands", "sketch"],
-            )
-
-    return docs.mapInArrow(run, "doc_id long, text_hash long, id long, size int, bands array<long>, sketch binary")
-
-
-def _first(ids: np.ndarray, near) -> list[tuple[int, int]]:
-    """Pairs of a set with each that looks near and isn't in such a pair yet."""
-    rest, out = np.arange(len(ids)), []
-    while len(rest) > 1:
-        a, rest = rest[0], rest[1:]
-        hit = near(a, rest) >= AGREE
-        out += [(int(ids[a]), int(ids[b])) for b in rest[hit]]
-        rest = rest[~hit]
-    return out
+        ids, sizes, words = [], [], []
+        for t in texts:
+            x = shingles(t.as_py())
+            ids.append(xxhash.xxh64_intdigest(x.tobytes(), 7))
+            sizes.append(len(x))
+            words.append(fingerprint(x))
+        n = len(ids)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * WORDS, pa.int32()), _signed(np.array(words).reshape(-1)))
+        return pa.StructArray.from_arrays([_signed(np.array(ids, dtype=np.uint64)), pa.array(sizes, pa.int32()), lists], names=["id", "size", "words"])
+
+    return docs.select("doc_id", "text_hash", run.asNondeterministic()(F.col("text")).alias("s")).select("doc_id", "text_hash", "s.*")
+
+
+def _members(sets: DataFrame) -> DataFrame:
+    """Rows (key, id, size, label, w0, w1) of the buckets of sets (id, size, label, words): one for each table."""
+    each = sets.select("*", F.posexplode(F.array(*[F.lit(m).cast("long") for m in _MASKS * WORDS])).alias("t", "mask"))
+    piece = F.element_at("words", F.expr(f"t div {len(_MASKS)} + 1").cast("int")).bitwiseAND(F.col("mask"))
+    return each.select(F.xxhash64("t", piece).alias("key"), "id", "size", "label", *[F.col("words")[i].alias(f"w{i}") for i in range(SCREEN)])
+
+
+_ROW = ["key", "id", "size", *[f"w{i}" for i in range(SCREEN)]]
+
+
+class _Rows:
+    """Members of buckets as arrays, in the order of their keys."""
+
+    def __init__(self, columns: list[np.ndarray]):
+        self.columns = columns
+        self.key, self.id, self.size = columns[:3]
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, more: tuple[str, ...] = ()) -> _Rows:
+        return cls([batch.column(c).to_numpy().astype(np.int64) for c in (*_ROW, *more)])
+
+    def part(self, at) -> _Rows:
+        return _Rows([c[at] for c in self.columns])
 
+    def then(self, other: _Rows) -> _Rows:
+        return _Rows([np.concatenate(c) for c in zip(self.columns, other.columns, strict=True)])
 
-def _later(ids: np.ndarray, labels: np.ndarray, near, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of different labels, at most so many for each set, and whether any were left for that; the commonest label needn't ask."""
-    kinds, inverse, counts = np.unique(labels, return_inverse=True, return_counts=True)
-    out, more, everyone = [], False, np.arange(len(ids))
-    for a in np.flatnonzero(inverse != counts.argmax()) if len(kinds) > 1 else ():
-        agree = np.where(labels == labels[a], 0, near(a, everyone))
-        hit = np.flatnonzero(agree >= AGREE)
-        if len(hit) > most:
-            more, hit = True, hit[np.argsort(-agree[hit], kind="stable")[:most]]
-        out += [(min(int(ids[a]), int(ids[b])), max(int(ids[a]), int(ids[b]))) for b in hit]
-    return out, more
+    def far(self, a, b) -> np.ndarray:
+        """Bits by which rows differ; more than all where sizes rule the similarity out."""
+        fits = SIMILAR[1] * np.minimum(self.size[a], self.size[b]) >= SIMILAR[0] * np.maximum(self.size[a], self.size[b])
+        bits = sum(_differing(w[a], w[b]).astype(np.int64) for w in self.columns[3 : 3 + SCREEN])
+        return np.where(fits, bits, 64 * SCREEN + 1)
 
 
-def _candidates(rows: DataFrame, most: int | None) -> DataFrame:
-    """(a, b, more) from rows (key, id, size, sketch, label) of buckets; more marks that pairs were left for a later round."""
+def first_near(rows: _Rows) -> tuple[list[np.ndarray], np.ndarray]:
+    """Pairs (a, b) of ids that link each row to the first one of its bucket near it, and the places of rows that have none."""
+    rest, leaders, pairs = np.arange(len(rows.key)), [], [np.zeros((2, 0), dtype=np.int64)]
+    while len(rest):
+        key = rows.key[rest]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        first = np.repeat(rest[start], np.diff(np.append(start, len(rest))))
+        hit = rows.far(first, rest) <= FAR
+        leaders.append(rest[start])
+        found = hit & (first != rest)
+        pairs.append(np.stack([rows.id[first[found]], rows.id[rest[found]]]))
+        rest = rest[~hit & (first != rest)]
+    return pairs, np.sort(np.concatenate(leaders)) if leaders else rest
+
+
+def _linked_first(rows: DataFrame, by: list[str], leave: bool) -> DataFrame:
+    """Pairs (id, other) of ``first_near`` from buckets dealt by these columns, and with ``leave`` the rows without any (other null)."""
+    kind = pa.schema([*[(c, pa.int64()) for c in _ROW], ("other", pa.int64())])
+
+    def out(pairs: list[np.ndarray], left: _Rows | None) -> pa.RecordBatch:
+        a, b = np.concatenate(pairs, axis=1)
+        n = 0 if left is None else len(left.key)
+        found = [np.zeros(len(a), dtype=np.int64), a, *[np.zeros(len(a), dtype=np.int64)] * (len(_ROW) - 2)]
+        columns = [np.concatenate([f, left.columns[i]]) if n else f for i, f in enumerate(found)]
+        other = pa.array(np.concatenate([b, np.zeros(n, dtype=np.int64)]), mask=np.arange(len(a) + n) >= len(a))
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), other], schema=kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: _Rows | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = _Rows.of(batch)
+            x = x if held is None else held.then(x)
+            last = int(np.searchsorted(x.key, x.key[-1]))  # that bucket may go on
+            if last:
+                pairs, left = first_near(x.part(slice(0, last)))
+                yield out(pairs, x.part(left) if leave else None)
+            held = x.part(slice(last, None))
+            if len(held.key) > BUCKET:
+                pairs, left = first_near(held)
+                yield out(pairs, None)
+                held = held.part(left)
+        if held is not None:
+            pairs, left = first_near(held)
+            yield out(pairs, held.part(left) if leave else None)
+
+    schema = ", ".join(f"{c} long" for c in [*_ROW, "other"])
+    parts = rows.select(*_ROW, *[c for c in by if c not in _ROW]).repartition(*by).sortWithinPartitions("key", *by, "id")
+    return parts.select(*_ROW).mapInArrow(run, schema)
+
+
+def _first(sets: DataFrame, total: int) -> DataFrame:
+    """Pairs (a, b) that link sets to the first near one of a bucket.
+
+    Keys that a sample shows to be hot are reduced part by part before they meet. The sample only chooses that way; at most
+    SAMPLE * HOT_SHARE keys can be above the bound, as each takes one in so many of all rows.
+    """
+    tables = len(_MASKS) * WORDS
+    most = max(BUCKET, total * tables // HOT_SHARE)
+    seen = _members(sets.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(SAMPLE)) == 0)).groupBy("key").count()
+    hot = [r.key for r in seen.where(F.col("count") > most // SAMPLE).select("key").collect()]
+    hot = sets.sparkSession.createDataFrame([(k,) for k in hot], "key long").withColumn("hot", F.lit(True))
+    rows = _members(sets).drop("label").join(F.broadcast(hot), "key", "left")
+    salted = rows.where("hot").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    parts = _linked_first(salted, ["key", "salt"], leave=True)
+    found = _linked_first(rows.where("hot is null").select(*_ROW).union(parts.where("other is null").select(*_ROW)), ["key"], leave=False)
+    return found.select("id", "other").union(parts.where("other is not null").select("id", "other")).toDF("a", "b").distinct()
+
+
+def _later(rows: DataFrame, most: int) -> DataFrame:
+    """(a, b, more) of pairs of different labels in buckets, at most so many for each set; more marks that pairs were left.
+
+    Sets of a bucket's commonest label needn't ask, as the others ask for them.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
-    def pairs(x: pa.Table) -> pa.RecordBatch:
-        key, ids, size, label = (x.column(c).to_numpy() for c in ("key", "id", "size", "label"))
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-        ends = np.concatenate([starts[1:], [len(key)]])
-        found, left = set(), False
-        many = ends - starts > 1
-        if many.any():
-            sketch = np.frombuffer(b"".join(x.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, BANDS * ROWS)
-        for s, e in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
-            z, n = sketch[s:e], size[s:e].astype(np.int64)
-
-            def near(a, others, z=z, n=n):
-                fits = SIMILAR[1] * np.minimum(n[a], n[others]) >= SIMILAR[0] * np.maximum(n[a], n[others])
-                return np.where(fits, (z[others] == z[a]).sum(axis=1), 0)
-
-            if most is None:
-                found.update(_first(ids[s:e], near))
-            else:
-                some, more = _later(ids[s:e], label[s:e], near, most)
-                found.update(some)
-                left |= more
-        a, b = zip(*sorted(found)) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([left] * len(a), pa.bool_())], schema=schema)
+    def asked(x: _Rows) -> tuple[np.ndarray, bool]:
+        label, everyone = x.columns[-1], np.arange(len(x.id))
+        kinds, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
+        out, more = [np.zeros((2, 0), dtype=np.int64)], False
+        for a in np.flatnonzero(inverse != counts.argmax()) if len(kinds) > 1 else ():
+            far = np.where(label == label[a], 64 * SCREEN + 1, x.far(a, everyone))
+            hit = np.flatnonzero(far <= FAR)
+            if len(hit) > most:
+                more, hit = True, hit[np.argsort(far[hit], kind="stable")[:most]]
+            own = np.full(len(hit), x.id[a])
+            out.append(np.stack([np.minimum(own, x.id[hit]), np.maximum(own, x.id[hit])]))
+        return np.unique(np.concatenate(out, axis=1), axis=1), more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: _Rows | None = None
+
+        def solved(x: _Rows) -> pa.RecordBatch:
+            cut = np.flatnonzero(np.diff(x.key)) + 1
+            parts = [asked(x.part(slice(s, e))) for s, e in zip([0, *cut], [*cut, len(x.key)], strict=True)]
+            a, b = np.concatenate([p for p, _ in parts], axis=1)
+            more = np.concatenate([np.full(p.shape[1], m) for p, m in parts])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more, pa.bool_())], schema=schema)
+
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last bucket may go on
-            if len(key) and held and held[-1].column("key")[-1].as_py() != key[0]:
-                yield pairs(pa.Table.from_batches(held))
-                held = []
-            if cut:
-                yield pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            if len(key):
-                held.append(batch.slice(cut))
-        if held:
-            yield pairs(pa.Table.from_batches(held))
-
-    return rows.select("key", "id", "size", "sketch", "label").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, more boolean")
+            if not len(batch):
+                continue
+            x = _Rows.of(batch, ("label",))
+            x = x if held is None else held.then(x)
+            last = int(np.searchsorted(x.key, x.key[-1]))
+            if last:
+                yield solved(x.part(slice(0, last)))
+            held = x.part(slice(last, None))
+        if held is not None:
+            yield solved(held)
+
+    return rows.select(*_ROW, "label").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, more boolean")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -213,45 +299,60 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
+def _merged(labels: DataFrame, links: DataFrame, folder: str) -> DataFrame | None:
+    """(id, label) after links (a, b) have joined the labels of their ends; None if that changes none.
+
+    Components are those of the labels, so each round works on what the last one left apart.
+    """
+    ends = links.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b").where("x <> y")
+    ends = stage(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{folder}-ends")
+    if ends.limit(1).count() == 0:
+        return None
+    new = stage(components(ends, f"{folder}-components").toDF("label", "new"), f"{folder}-new")
+    drop(links.sparkSession, f"{folder}-components")
+    out = join_small(labels, new, ["label"], salt=F.xxhash64("id"))
+    return stage(out.select("id", F.coalesce("new", "label").alias("label")), folder)
+
+
 def near_groups(docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, text_hash, label) for each row of ``docs`` (doc_id, text); rows that links connect have one label.
 
     Null, empty and blank texts have no shingles and are alike. Repeated rows come back repeated.
     """
+    small_batches(docs.sparkSession)
     each = stage(sketches(_rows(docs)), f"{folder}/each")
     total = each.count()
     named = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.coalesce("text_hash", F.lit(0)).alias("text_hash"))
-    distinct = each.groupBy("id").agg(F.min(named).alias("named"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
+    distinct = each.groupBy("id").agg(F.min(named).alias("named"), F.first("size").alias("size"), F.first("words").alias("words"), F.count("*").alias("rows"))
     distinct = stage(distinct, f"{folder}/distinct")
-    members = stage(distinct.select("id", "size", "sketch", F.explode("bands").alias("key")).withColumn("label", F.col("id")), f"{folder}/members")
-    found = stage(_candidates(members, None).select("a", "b").distinct(), f"{folder}/pairs-1")
-    sets = edges = labels = None
-    n, most = 1, NEAREST
+    found = stage(_first(distinct.withColumn("label", F.col("id")), distinct.count()), f"{folder}/pairs-1")
+    # only sets that are near another one in some bucket may be asked for later
+    some = stage(distinct.join(found.select("a").union(found.select("b")).toDF("id").distinct(), "id", "left_semi"), f"{folder}/some")
+    texts = _rows(docs).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("text_hash", F.coalesce("text_hash", F.lit(0)))
+    sets = stage(_sets(texts.join(some.select("id", "named._id", "named.text_hash"), ["_id", "text_hash"]).dropDuplicates(["id"])), f"{folder}/sets")
+    labels = some.select("id", F.col("id").alias("label"))
+    n, most, done, more = 1, NEAREST, None, True
     while True:
-        if sets is None:
-            # a later round may ask for any set of a shared bucket
-            shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-            members = stage(members.join(shared, "key"), f"{folder}/shared")
-            wanted = distinct.join(members.select("id").distinct(), "id", "left_semi").select("id", "named._id", "named.text_hash")
-            texts = _rows(docs).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("text_hash", F.coalesce("text_hash", F.lit(0)))
-            sets = stage(_sets(texts.join(wanted, ["_id", "text_hash"]).dropDuplicates(["id"])), f"{folder}/sets")
         linked = stage(_verified(found, sets), f"{folder}/linked-{n}")
-        edges = linked if edges is None else edges.union(linked)
-        labels = stage(components(edges, f"{folder}/components-{n}"), f"{folder}/labels-{n}")
-        open_ = members.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        merged = _merged(labels, linked, f"{folder}/merged-{n}")
+        unordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        done = unordered if done is None else done.union(unordered)
+        if merged is None and not more:
+            break
+        labels = labels if merged is None else merged
+        open_ = _members(some.select("id", "size", "words").join(labels, "id"))
         several = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        asked = stage(_candidates(open_.join(several, "key"), most), f"{folder}/asked-{n}")
-        done = found if n == 1 else done.union(found)  # noqa: F821
-        unordered = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        asked = stage(_later(open_.join(several, "key"), most), f"{folder}/asked-{n}")
         n, most = n + 1, 4 * most
-        found = stage(asked.select("a", "b").distinct().join(unordered, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
-        if found.limit(1).count() == 0 and asked.where("more").limit(1).count() == 0:
+        found = stage(asked.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
+        more = asked.where("more").limit(1).count() > 0
+        if found.limit(1).count() == 0 and not more:
             break
-    names = distinct.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    names = distinct.join(labels, "id", "left")
     names = stage(names.select(F.col("id").cast("string").alias("key"), F.coalesce("label", "id").alias("label"), "rows"), f"{folder}/names")
     out = join_skewed(each.select("doc_id", "text_hash", F.col("id").cast("string").alias("key"), "id"), names, "key", "rows", total, F.monotonically_increasing_id())
     out = stage(out.select("doc_id", "text_hash", "label"), f"{folder}/groups")
-    for part in ("each", "distinct", "members", "shared", "sets", "names", *(f"{p}-{i}" for p in ("pairs", "linked", "labels", "asked", "components") for i in range(1, n + 1))):
+    for part in ("each", "distinct", "some", "sets", "names", *(f"{p}-{i}" for p in ("pairs", "linked", "asked", "merged") for i in range(1, n + 1))):
         drop(docs.sparkSession, f"{folder}/{part}")
     return out
 

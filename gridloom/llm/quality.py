@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, drop, join_small, stage, text_key, workspace
+from .shared import documents, drop, join_small, small_batches, stage, text_key, workspace
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -399,6 +399,7 @@ def quality(docs: DataFrame) -> DataFrame:
     Null, empty and blank texts have no words and fail the base rules. Null languages or sources are groups of
     their own. Repeated rows are judged, and counted, each. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     folder = workspace(docs.sparkSession, "quality")
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")]
     stats = docs.select(*columns, stats_of(F.col("text")).alias("_stats"))
@@ -412,6 +413,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     Estimates come from a first pass; a second one computes the statistics again beside each row, which
     spares a shuffle of texts and needs no unique id.
     """
+    small_batches(docs.sparkSession)
     folder = workspace(docs.sparkSession, "quality")
     stats = docs.select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), stats_of(F.col("text")).alias("_stats"))
     stats = stage(_keyed(stats).drop("lang", "source"), f"{folder}/stats")

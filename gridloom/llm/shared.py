@@ -16,18 +16,33 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 2_000
 
 
+#: Rows and bytes that go to Python at a time, at most; a longer text goes by itself.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to BATCH_ROWS and BATCH_BYTES, where they are larger: texts are long, and both sides hold some batches."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = str(spark.conf.get(name))
+        if not now.removesuffix("b").isdigit() or not 0 < int(now.removesuffix("b")) <= most:
+            spark.conf.set(name, str(most))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests, one machine) a temporary folder is made and set.
+    Only where it is unset, on one machine, as in tests, a temporary folder is made and set.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if not path and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="gridloom-"))
     return path or sc.getCheckpointDir()
 
