@@ -6,14 +6,16 @@ permutes the values of a format: equal values get equal pseudonyms in all docume
 different. Check digits are computed again. What fails validation stays as it is; but where an IBAN or card has
 swallowed what stands beside it, the longest valid part between separators is taken, and the search goes on behind it.
 
-    email    letters and digits up to the last dot, each within its own alphabet
+    email    letters and digits up to the last dot, each within its own alphabet; up to 64 characters before the @, 254 in all, no two dots together
     ip       IPv4 octets up to 255
-    phone    digits behind the country code
-    date     days from 1900-01-01 to 2101-11-10, in the same notation
+    phone    digits behind the country code; three groups (3, 3, 4) with a bracket, dot or hyphen, or with spaces where the area
+             begins with 2 to 9, or an international number of 8 to 15 digits that begins with + and its country code
+    date     days from 1900-01-01 to 2101-11-10, in the same notation: ISO, day first with dots, month first with slashes, and
+             with slashes day first where that alone is a date; those stay among themselves, as days from the 13th on
     ssn      area, group and serial within their valid ranges
     iban     country stays, check digits computed again (ISO 7064 mod 97)
-    card     13 to 19 digits with a valid Luhn digit, which is computed again
-    secret   32 to 64 hexadecimal digits
+    card     13 to 19 digits with a valid Luhn digit, which is computed again; dots part groups of four only
+    secret   32 to 64 hexadecimal digits, letters and decimal digits among them
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ KEY = "gridloom"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
+    "phone": r"(?<!\d)(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}|\+[1-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,6}|(?<!\d[ .-])[2-9]\d{2} \d{3} \d{4}(?![ .-]\d))(?!\d)",
     "date": r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}([./])\d{2}\1\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": r"(?<!\d)(?:\d(?:[ -]?\d){12,18}|(?<!\d\.)\d{4}(?:\.\d{4}){3}(?!\.\d))(?!\d)",
 }
 KINDS = list(PATTERNS)
 
@@ -53,6 +55,9 @@ HEX = ["0123456789abcdef", "0123456789ABCDEF"]
 #: 256 * 288 days from this one on.
 DAY_ONE, DAYS = "1900-01-01", (256, 288)
 
+#: Turns in which a walk over days meets one after the 12th: each does with odds of 3 to 2, so that one walk in 10^26 is cut.
+WALK = 64
+
 
 def any_pattern() -> str:
     """All kinds in one pattern; the back reference counts its own group."""
@@ -143,12 +148,20 @@ def mod97(text: Column) -> Column:
     return F.aggregate(chars, F.lit(0).cast("int"), lambda a, c: ((a * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97).cast("int"))
 
 
+def _slashed(m: Column, day: int, month: int) -> Column:
+    return F.when(m.substr(3, 1) == "/", F.concat_ws("-", m.substr(7, 4), m.substr(month, 2), m.substr(day, 2))).try_cast("date")
+
+
+def _day_first(m: Column) -> Column:
+    """Whether a slashed match is a date only if the day stands first."""
+    return _slashed(m, 4, 1).isNull() & _slashed(m, 1, 4).isNotNull()
+
+
 def _day(m: Column) -> Column:
-    """The date that a match notes, null if there is none: ISO, day first with dots, month first with slashes."""
-    iso = F.when(m.substr(5, 1) == "-", m)
-    dots = F.when(m.substr(3, 1) == ".", F.concat_ws("-", m.substr(7, 4), m.substr(4, 2), m.substr(1, 2)))
-    slashes = F.when(m.substr(3, 1) == "/", F.concat_ws("-", m.substr(7, 4), m.substr(1, 2), m.substr(4, 2)))
-    return F.coalesce(iso, dots, slashes).try_cast("date")
+    """The date that a match notes, null if there is none: ISO, day first with dots, month first with slashes, else day first."""
+    iso = F.when(m.substr(5, 1) == "-", m).try_cast("date")
+    dots = F.when(m.substr(3, 1) == ".", F.concat_ws("-", m.substr(7, 4), m.substr(4, 2), m.substr(1, 2))).try_cast("date")
+    return F.coalesce(iso, dots, _slashed(m, 4, 1), _slashed(m, 1, 4))
 
 
 def _count(m: Column) -> Column:
@@ -175,8 +188,12 @@ def valid(kind: str, m: Column) -> Column:
         flat = F.regexp_replace(m, " ", "")
         return F.length(flat).between(15, 34) & (mod97(F.concat(F.substring(flat, 5, 40), F.substring(flat, 1, 4))) == 1)
     if kind == "card":
-        return (luhn_sum(_digits(m)) % 10 == 0) & (F.regexp_replace(m, "[0 -]", "") != "")
-    return F.lit(True)
+        return (luhn_sum(_digits(m)) % 10 == 0) & (F.regexp_replace(m, "[0 .-]", "") != "")
+    if kind == "phone":
+        return F.length(_digits(m)).between(8, 15) & ~F.rlike(_digits(m), F.lit(r"^(\d)\1*$"))
+    if kind == "email":
+        return (F.length(m) <= 254) & (F.position(F.lit("@"), m) <= 65) & ~F.contains(m, F.lit(".."))
+    return F.rlike(m, F.lit("[0-9]")) & F.rlike(m, F.lit("[A-Fa-f]"))  # secret
 
 
 def pseudonym(kind: str, m: Column, key: str) -> Column:
@@ -192,15 +209,23 @@ def pseudonym(kind: str, m: Column, key: str) -> Column:
         code = F.regexp_extract(m, r"^(?:\+\d{1,3}[ .-]?)?", 0)
         return F.concat(code, permuted(F.substr(m, F.length(code) + 1), [DIGITS], kind, key))
     if kind == "date":
-        n = _count(m).cast("long")
-        p = feistel(F.array(F.floor(n / DAYS[1])), F.array(n % DAYS[1]), longs(DAYS[0]), longs(DAYS[1]), kind, key)
-        form = F.when(m.substr(5, 1) == "-", F.lit("yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.lit("dd.MM.yyyy")).otherwise(F.lit("MM/dd/yyyy"))
+        day_one, first = F.lit(DAY_ONE).cast("date"), _day_first(m)
 
-        def shown(p: Column) -> Column:
-            day = F.date_add(F.lit(DAY_ONE).cast("date"), (p.a[0] * DAYS[1] + p.b[0]).cast("int"))
-            return F.when(form == "yyyy-MM-dd", F.date_format(day, "yyyy-MM-dd")).when(form == "dd.MM.yyyy", F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
+        def turned(n: Column) -> Column:
+            p = feistel(F.array(F.floor(n / DAYS[1])), F.array(n % DAYS[1]), longs(DAYS[0]), longs(DAYS[1]), kind, key)
+            return _let(p, lambda p: p.a[0] * DAYS[1] + p.b[0])
 
-        return _let(p, shown)
+        def among(n: Column) -> Column:
+            """Turned until the day is one of those that can only stand first: a walk on a cycle, which comes back to one."""
+            out = lambda k: F.dayofmonth(F.date_add(day_one, k.cast("int"))) > 12
+            return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), n, lambda k, _: F.when(out(k), k).otherwise(turned(k)))
+
+        def shown(n: Column) -> Column:
+            day = F.date_add(day_one, n.cast("int"))
+            dmy = F.when(first, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
+            return F.when(m.substr(5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(day, "dd.MM.yyyy")).otherwise(dmy)
+
+        return _let(turned(_count(m).cast("long")), lambda n: _let(F.when(first, among(n)).otherwise(n), shown))
     if kind == "ssn":
         area, group, serial = _ssn(m)
         index = area - F.when(area > 666, 2).otherwise(1)
@@ -323,7 +348,7 @@ def pseudonymized(docs: DataFrame, key: str = KEY, column: str = "text", counts:
     every = lambda x: F.regexp_extract_all(x, F.lit(pattern), F.lit(0))
     found = F.when(F.rlike(text, F.lit("[0-9@]|[A-Fa-f]{32}")), every(text))
     name, parts = "_found", "_parts"
-    while {name, parts} & set(docs.columns):
+    while {name, parts} & {c.lower() for c in docs.columns}:  # names are told apart without regard to case
         name, parts = name + "_", parts + "_"
     rows = docs.withColumn(name, F.coalesce(found, F.array().cast("array<string>")))
     rows = rows.withColumn(parts, F.when(F.exists(name, lambda m: _inside(m).isNotNull()), segments(text, pattern)))
