@@ -5,11 +5,14 @@ classes, wherever they stand, and neighbouring windows mostly share theirs, so a
 few runs of windows of one class. Runs are dealt by class:
 
 - A run whose class is found nowhere else, and whose least substring once, repeats nothing.
-- Runs of the same bytes repeat each other whole.
+- Runs of the same bytes, by two 64-bit hashes beside the class, repeat each other whole.
 - What is left, at the borders of repeats, brings its bytes. Suffixes smaller than their successors are sorted
   directly, the others are induced by scanning the buckets, and windows whose common prefix with a
   neighbour in the suffix array has WINDOW bytes repeat.
-- Classes with very many such runs are dealt further, window by window, by 128-bit hash.
+- Classes of more than CLASS_RUNS runs or CLASS_BYTES bytes are dealt further, window by window, by 128-bit hash.
+
+Classes that hold more than one of HOT_SHARE runs are found on a sample of texts, which only chooses their way: they
+are counted by partial aggregates, and the counts are broadcast, so a passage that stands everywhere meets in no task.
 
 Equal texts are handled once. Texts are bucketed by their hash, so only numbers are shuffled after that.
 """
@@ -26,12 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import documents, drop, join_skewed, stage, workspace
+from .shared import HOT_SHARE, documents, drop, join_skewed, small_batches, stage, workspace
 
 WINDOW, GRAM = 200, 80
 
-#: Runs of a class that are sorted together; bytes of runs in one suffix array; positions handled at a time.
-CLASS_RUNS, ARRAY_BYTES, SEGMENT = 4096, 1 << 22, 1 << 20
+#: Runs and bytes of a class that are sorted together; bytes of several classes' runs in one suffix array; positions handled at a time.
+CLASS_RUNS, CLASS_BYTES, ARRAY_BYTES, SEGMENT = 4096, 1 << 22, 1 << 22, 1 << 20
+
+#: One in so many texts is looked at to find hot classes.
+SAMPLE = 64
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.Generator(np.random.PCG64(200)).integers(0, 1 << 64, size=(2, 256), dtype=np.uint64)
@@ -77,7 +83,7 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs(x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(low, high, class, content hash, own) of the runs of windows that begin at low .. high of a text's bytes.
+    """(low, high, class, two content hashes, own) of the runs of windows that begin at low .. high of a text's bytes.
 
     own: the class's substring occurs twice or more near the run, so windows within the run may be equal.
     """
@@ -92,9 +98,11 @@ def runs(x: np.ndarray) -> tuple[np.ndarray, ...]:
         high = np.concatenate([cut, [len(least)]]) - 1
         ordered = np.sort(grams)
         again = ordered[1:][ordered[1:] == ordered[:-1]]
-        content = _mixed((p[high + WINDOW] - p[low]) * down[low] + (high - low).astype(np.uint64) * _M)
-        out.append((low + at, high + at, least[low].view(np.int64), content.view(np.int64), np.isin(least[low], again)))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (*(np.zeros(0, dtype=np.int64) for _ in range(4)), np.zeros(0, dtype=bool))
+        contents = []
+        for sums in (p, _prefix(part, _BYTES[1])[0]):
+            contents.append(_mixed((sums[high + WINDOW] - sums[low]) * down[low] + (high - low).astype(np.uint64) * _M).view(np.int64))
+        out.append((low + at, high + at, least[low].view(np.int64), *contents, np.isin(least[low], again)))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (*(np.zeros(0, dtype=np.int64) for _ in range(5)), np.zeros(0, dtype=bool))
 
 
 def window_hashes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,14 +231,15 @@ def _batch(kinds: dict[str, pa.DataType], **columns) -> pa.RecordBatch:
 
 
 def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["t1", "t2", "low", "high", "class", "content", "own"]
+    names = ["t1", "t2", "low", "high", "class", "content", "content2", "own"]
     for batch in batches:
         found: list[tuple[np.ndarray, ...]] = []
         size = 0
         for t1, t2, text in zip(batch.column("t1").to_numpy(), batch.column("t2").to_numpy(), batch.column("raw"), strict=True):
-            low, high, kind, content, own = runs(_raw(text))
-            found.append((np.full(len(low), t1), np.full(len(low), t2), low, high, kind, content, own))
-            size += len(low)
+            parts = runs(_raw(text))
+            n = len(parts[0])
+            found.append((np.full(n, t1), np.full(n, t2), *parts))
+            size += n
             if size > 200_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=names)
                 found, size = [], 0
@@ -245,19 +254,22 @@ def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of each run, or of a hot class's run the hashes of its windows (piece null, class 0)."""
     for batch in batches:
         rows: list[tuple] = []
+        size = 0
         for t1, t2, text, listed in zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), batch.column("raw"), batch.column("runs").to_pylist(), strict=True):
             x = _raw(text)
             for r in listed:
                 piece = x[r["low"] : r["high"] + WINDOW]
                 if r["hot"]:
-                    for at in range(0, len(piece) - WINDOW + 1, SEGMENT):
-                        h1, h2 = window_hashes(piece[at : at + SEGMENT + WINDOW - 1])
-                        rows += [(0, t1, t2, r["low"] + at + i, a, b, None) for i, (a, b) in enumerate(zip(h1.tolist(), h2.tolist(), strict=True))]
+                    for at in range(0, len(piece) - WINDOW + 1, SEGMENT >> 4):
+                        h1, h2 = window_hashes(piece[at : at + (SEGMENT >> 4) + WINDOW - 1])
+                        n, low = len(h1), np.arange(len(h1)) + r["low"] + at
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.zeros(n, dtype=np.int64), np.full(n, t1), np.full(n, t2), low, h1, h2)] + [pa.nulls(n, pa.binary())], names=list(_PIECES))
                 else:
                     rows.append((r["class"], t1, t2, r["low"], None, None, piece.tobytes()))
-                if len(rows) > 20_000:
+                    size += len(piece)
+                if size > ARRAY_BYTES or len(rows) > 20_000:
                     yield _batch(_PIECES, **dict(zip(_PIECES, zip(*rows, strict=True), strict=True)))
-                    rows = []
+                    rows, size = [], 0
         if rows:
             yield _batch(_PIECES, **dict(zip(_PIECES, zip(*rows, strict=True), strict=True)))
 
@@ -327,6 +339,41 @@ def merged(marks: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _judged(texts: DataFrame) -> DataFrame:
+    """(t1, t2, low, high, class, whole, sorted, hot) of the runs that may repeat.
+
+    whole: the run's bytes stand elsewhere too; sorted: it is to be sorted with its class, as one of equal runs at most;
+    hot: the class is too large to be sorted.
+    """
+    schema = "t1 long, t2 long, low long, high long, class long, content long, content2 long, own boolean"
+    found = texts.mapInArrow(_find_runs, schema)
+    size, content = F.sum(F.col("high") - F.col("low") + WINDOW), F.struct("content", "content2")
+    of = ["class", "content", "content2"]
+
+    def told(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("sorted", (F.col("n") == 1) | F.col("first") & (F.col("least") < F.col("most")))
+        hot = (F.col("n_class") > CLASS_RUNS) | (F.col("size") > CLASS_BYTES)
+        return rows.where("n_class > 1 or own").select("t1", "t2", "low", "high", "class", (F.col("n") > 1).alias("whole"), "sorted", hot.alias("hot"))
+
+    seen = texts.where(F.pmod("t1", F.lit(SAMPLE)) == 0).mapInArrow(_find_runs, schema).groupBy("class").count()
+    bound = max(CLASS_RUNS, seen.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] * SAMPLE // HOT_SHARE)
+    hot = [r["class"] for r in seen.where(F.col("count") > bound // SAMPLE).collect()]  # at most HOT_SHARE
+
+    of_class, of_content = Window.partitionBy("class"), Window.partitionBy(*of)
+    cold = found.where(~F.col("class").isin(hot)) if hot else found
+    cold = cold.withColumns({"n_class": F.count("*").over(of_class), "size": size.over(of_class), "least": F.min(content).over(of_class), "most": F.max(content).over(of_class)}).where("n_class > 1 or own")
+    cold = told(cold.withColumns({"n": F.count("*").over(of_content), "first": F.row_number().over(of_content.orderBy("t1", "t2", "low")) == 1}))
+    if not hot:
+        return cold
+    rows = found.where(F.col("class").isin(hot))
+    place = F.struct("t1", "t2", "low")
+    classes = rows.groupBy("class").agg(F.count("*").alias("n_class"), size.alias("size"), F.min(content).alias("least"), F.max(content).alias("most"))
+    runs_ = rows.groupBy(*of).agg(F.count("*").alias("n"), F.min(place).alias("place")).withColumn("key", F.concat_ws(",", *of)).drop(*of)
+    rows = rows.join(F.broadcast(classes), "class").withColumn("key", F.concat_ws(",", *of))
+    rows = join_skewed(rows, runs_.withColumn("times", F.col("n")), "key", "times", bound * HOT_SHARE, F.xxhash64("t1", "t2", "low"))
+    return cold.union(told(rows.withColumn("first", place == F.col("place"))))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``docs`` (doc_id, text).
 
@@ -335,6 +382,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text get equal results, and repeated rows come back repeated. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = workspace(spark, "repeats")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("raw")).select("*", F.xxhash64("raw").alias("t1"), F.xxhash64(F.lit(1), "raw").alias("t2"))
@@ -344,20 +392,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     once.repartition(parts, "t1", "t2").write.bucketBy(parts, "t1", "t2").option("path", f"{folder}/texts").option("compression", "zstd").saveAsTable(table)
     texts = spark.table(table)
 
-    found = texts.where(F.length("raw") >= WINDOW).select("t1", "t2", "raw").mapInArrow(_find_runs, "t1 long, t2 long, low long, high long, class long, content long, own boolean")
-    of_class, of_content = Window.partitionBy("class"), Window.partitionBy("class", "content")
-    judged = found.withColumns({"n_class": F.count("*").over(of_class), "least": F.min("content").over(of_class), "most": F.max("content").over(of_class)}).where("n_class > 1 or own")
-    judged = judged.withColumns({"n": F.count("*").over(of_content), "k": F.row_number().over(of_content.orderBy("t1", "t2", "low"))})
-    judged = judged.select("t1", "t2", "low", "high", "class", (F.col("n") > 1).alias("whole"), ((F.col("n") == 1) | (F.col("k") == 1) & (F.col("least") < F.col("most"))).alias("sorted"), (F.col("n_class") > CLASS_RUNS).alias("hot"))
-    judged = stage(judged, f"{folder}/judged")
+    judged = stage(_judged(texts.where(F.length("raw") >= WINDOW).select("t1", "t2", "raw")), f"{folder}/judged")
 
     wanted = judged.where("sorted").groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "high", "class", "hot")).alias("runs"))
     pieces = texts.select("t1", "t2", "raw").join(wanted, ["t1", "t2"]).mapInArrow(_cut_pieces, "class long, t1 long, t2 long, low long, h1 long, h2 long, piece binary")
     pieces = stage(pieces, f"{folder}/pieces")
     arrays = pieces.where("piece is not null").select("class", "t1", "t2", "low", "piece").repartition(4 * parts, "class").sortWithinPartitions("class")
     arrays = arrays.mapInArrow(_sort_pieces, "t1 long, t2 long, low long, stop long")
-    single = pieces.where("piece is null").select("t1", "t2", "low", F.count("*").over(Window.partitionBy("h1", "h2")).alias("n"))
-    single = single.where("n > 1").select("t1", "t2", "low", (F.col("low") + WINDOW).alias("stop"))
+    single = pieces.where("piece is null").select("t1", "t2", "low", F.concat_ws(",", "h1", "h2").alias("key"))
+    counts = stage(single.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("again", F.lit(True)), f"{folder}/windows")
+    single = join_skewed(single, counts, "key", "n", single.count(), F.xxhash64("t1", "t2", "low"))
+    single = single.where("again").select("t1", "t2", "low", (F.col("low") + WINDOW).alias("stop"))
     whole = judged.where("whole").select("t1", "t2", "low", (F.col("high") + WINDOW).alias("stop"))
     marks = whole.union(arrays).union(single).groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "stop")).alias("marks"))
     done = texts.join(marks, ["t1", "t2"], "left").select("t1", "t2", "raw", "copies", "marks").mapInArrow(_remove, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from cases import COLUMNS, ODD
+from cases import COLUMNS, LONG, ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -124,12 +124,31 @@ def test_removal_equals_brute_force(spark, monkeypatch):
     assert removed(spark, texts) == want
     monkeypatch.setattr(suffixes, "CLASS_RUNS", 3)  # hot classes by window hashes
     assert removed(spark, texts) == want
+    monkeypatch.setattr(suffixes, "SAMPLE", 1)  # and counted apart, for one run in ten
+    monkeypatch.setattr(suffixes, "HOT_SHARE", 10**9)
+    assert removed(spark, texts) == want
+    monkeypatch.setattr(suffixes, "CLASS_RUNS", 4096)
+    monkeypatch.setattr(suffixes, "CLASS_BYTES", 300)
+    assert removed(spark, texts) == want
+
+
+def test_removal_from_long_texts(spark, monkeypatch):
+    """Texts beyond a segment, a passage in thousands of texts, and runs of megabytes."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(320))
+    long = "".join(rng.choice("abcdefghijkl mnop") for _ in range(1_300_000))
+    texts = [long, "=" * 400_000, passage + long[700_000:1_200_000] + passage, LONG, LONG[:90_000]]
+    texts += [f"{i} {passage[i % 40 :]} {i * 7}" for i in range(5000)]
+    want = brute(texts)
+    assert removed(spark, texts) == want
+    monkeypatch.setattr(suffixes, "SAMPLE", 4)
+    assert removed(spark, texts) == want
 
 
 def test_removal_of_odd_rows(spark):
-    df = spark.createDataFrame(ODD[:9], COLUMNS)
+    df = spark.createDataFrame(ODD, COLUMNS)
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(df).collect())
-    assert got == Counter((r[0], *b) for r, b in zip(ODD[:9], brute([r[1] for r in ODD[:9]]), strict=True))
+    assert got == Counter((r[0], *b) for r, b in zip(ODD, brute([r[1] for r in ODD]), strict=True))
     assert suffixes.remove_repeats(df.limit(0)).count() == 0
 
 
