@@ -1,4 +1,4 @@
-"""Command line: ``python -m gridloom query NAME TABLES OUT`` and ``python -m gridloom clean IMAGES OUT``."""
+"""Command line: ``python -m gridloom`` with ``query NAME TABLES OUT``, ``clean IMAGES OUT`` or ``ocr IMAGES OUT --backend MODULE:FACTORY``."""
 
 from __future__ import annotations
 
@@ -28,6 +28,23 @@ def clean_images(spark: SparkSession, images: str, out: str, glob: str, keep_on_
     return row.successful, documents.image_files(spark, images, glob).count()
 
 
+def read_images(spark: SparkSession, images: str, out: str, glob: str, backend: str, batch: int = 5) -> tuple[int, int]:
+    """Recognise the images below a folder, a text file each; texts written and images found. The backend's factory is named module:name."""
+    from importlib import import_module
+
+    from gridloom.functions.text import stem
+    from gridloom.operators import ocr
+    from gridloom.sources import documents, files
+    from gridloom.sources.staging import staged
+    from pyspark.sql import functions as F
+
+    module, _, name = backend.partition(":")
+    found = ocr.recognized(documents.images(spark, images, glob).drop("path"), getattr(import_module(module), name), ["pdf_name", "file_name"], max(1, batch))
+    texts = ocr.text_of(found).where("success").select("pdf_name", stem(F.col("file_name")).alias("stem"), "text")
+    done = staged(files.write_named(files.text_files(texts), out), "written")
+    return done.where("success").count(), documents.image_files(spark, images, glob).count()
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="gridloom")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -39,10 +56,19 @@ def main(args: list[str] | None = None) -> None:
     clean.add_argument("out")
     clean.add_argument("--glob", default="*.jpg")
     clean.add_argument("--keep-on-error", action="store_true")
+    read = commands.add_parser("ocr", help="recognise the text on images")
+    read.add_argument("images")
+    read.add_argument("out")
+    read.add_argument("--backend", required=True, help="module:factory")
+    read.add_argument("--glob", default="*.jpg")
+    read.add_argument("--batch", type=int, default=5)
     options = parser.parse_args(args)
     spark = SparkSession.builder.appName("gridloom").getOrCreate()
     if options.command == "query":
         run_query(spark, options.name, options.tables, options.out)
+    elif options.command == "ocr":
+        written, found = read_images(spark, options.images, options.out, options.glob, options.backend, options.batch)
+        print(f"{written} of {found} texts written")
     else:
         written, found = clean_images(spark, options.images, options.out, options.glob, options.keep_on_error)
         print(f"{written} of {found} images written")

@@ -118,7 +118,7 @@ def test_no_device_here():
 
 
 def test_command_line(spark, tmp_path):
-    from gridloom.__main__ import clean_images, run_query
+    from gridloom.__main__ import clean_images, read_images, run_query
 
     card = np.full((60, 80), 255, dtype=np.uint8)
     card[20:45, 20:60] = 0
@@ -127,5 +127,7 @@ def test_command_line(spark, tmp_path):
     assert clean_images(spark, str(tmp_path / "in"), str(tmp_path / "out"), "*.png", True) == (1, 2)
     row = s.images(spark, str(tmp_path / "out"), "*.png").first()
     assert row.file_name == "voter_001.png" and (s.as_image(row.asDict()) == 255).all()
+    assert read_images(spark, str(tmp_path / "out"), str(tmp_path / "texts"), "*.png", "synthetic:reader", 0) == (1, 1)
+    assert (tmp_path / "texts" / "d" / "voter_001.txt").read_text() == "60x80\nend"
     run_query(spark, "documents_read", "/root/testdata/sf0.001", str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).count() == 1
