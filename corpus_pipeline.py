@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by four fifths of five-word shingles: the one with the smallest doc_id."""
+    """One document of each group that SimHash masks propose and four fifths of five-word shingles link: the one with the smallest doc_id."""
     return one_of_near(docs)
 
 
@@ -41,7 +41,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), release=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
