@@ -163,3 +163,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget(path: str) -> None:
+    """Free this worker's encoder and its cache."""
+    _ENCODERS.pop(path, None)
