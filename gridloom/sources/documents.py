@@ -103,9 +103,14 @@ def image_files(spark: SparkSession, folder: str, glob: str = "*.jpg") -> DataFr
 def images(spark: SparkSession, folder: str, glob: str = "*.jpg") -> DataFrame:
     """(path, pdf_name, file_name, height, width, channels, data) decoded on the JVM; what isn't an image is left out.
 
-    The reader's channels are blue, green, red; they are turned round here.
+    The reader's channels are blue, green, red; they are turned round here. A missing folder has none.
     """
-    rows = spark.read.format("image").option("dropInvalid", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
+    try:
+        rows = spark.read.format("image").option("dropInvalid", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, pdf_name string, file_name string, height int, width int, channels int, data binary")
     rows = rows.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
     schema = T.StructType(rows.schema.fields)
 

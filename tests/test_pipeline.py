@@ -95,7 +95,7 @@ def test_images_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(f"doc/{k}", bytearray(png(a))) for k, a in arrays.items()] + [("doc/no.png", bytearray(b"x"))], "file_path string, content binary")
     write_named(df, str(tmp_path)).collect()
     assert s.image_files(spark, str(tmp_path), "*.png").count() == 3
-    assert s.image_files(spark, str(tmp_path / "none")).count() == 0
+    assert s.image_files(spark, str(tmp_path / "none")).count() == 0 and s.images(spark, str(tmp_path / "none")).count() == 0
     rows = s.images(spark, str(tmp_path), "*.png").collect()
     assert {r.file_name for r in rows} == set(arrays) and {r.pdf_name for r in rows} == {"doc"}
     for r in rows:
