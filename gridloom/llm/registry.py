@@ -1,6 +1,6 @@
 """Queries of this subpackage and the SQL that gives the same rows, for the entry file."""
 
-from . import mixing, topk, warc
+from . import mixing, suffixes, topk, warc
 from .mixing import op3_mixing
 from .packing import op9_packing
 from .pii import op6_pii
@@ -25,4 +25,4 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
 }
 
-ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE, "op4_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op1_topk": topk.ORACLE, "op3_mixing": mixing.ORACLE, "op4_warc": warc.ORACLE, "op10_suffixes": suffixes.ORACLE}

@@ -423,3 +423,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
+
+
+#: Every window of 200 bytes by its place, in hexadecimal and cut from pieces of a text; repeated ones by MD5, islands of them, and what is left.
+ORACLE = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (SELECT r, j, n, substr(x, 256 * j + 1, 654) AS y FROM (SELECT r, x, len(x) // 2 - 199 AS n, unnest(range((len(x) // 2 - 72) // 128)) AS j FROM d WHERE len(x) >= 400)),
+k AS (SELECT r, 128 * j + o AS i, md5_number(substr(y, 2 * o + 1, 400)) AS s FROM (SELECT r, j, n, y, unnest(range(least(128, n - 128 * j))) AS o FROM c)),
+s AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM k) WHERE n > 1),
+e AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 AS joined FROM s),
+g AS (SELECT r, i, sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM e),
+p AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY r, g),
+q AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM p),
+m AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept
+    FROM q JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN m USING (r)
+"""
