@@ -16,6 +16,9 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 2_000
 
 
+#: Files of a staged table for each core: small ones cost more to make, list and open than to fill.
+FILES = 4
+
 #: Rows and bytes that go to Python at a time, at most; a longer text goes by itself.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
@@ -70,8 +73,12 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: lineage is cut, lost executors lose nothing."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Write ``df`` to the shared folder and read it again: lineage is cut, lost executors lose nothing.
+
+    Its last stage has at most FILES tasks for each core of the cluster, and so the table as many files.
+    """
+    most = FILES * max(1, df.sparkSession.sparkContext.defaultParallelism)
+    df.coalesce(most).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -89,7 +96,7 @@ def join_small(left: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return left.join(F.broadcast(small), on, how)
     salt = F.pmod(F.xxhash64(*left.columns) if salt is None else salt, F.lit(salts))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return left.withColumn("_salt", salt.cast("long")).join(spread, [*on, "_salt"], how).drop("_salt")
 
 

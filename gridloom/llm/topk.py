@@ -60,7 +60,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 def _pack(rows: DataFrame, block: int) -> DataFrame:
     """Blocks (block, dim, ids, data) of vectors of one dimension, as packed longs and doubles."""
     n = rows.count()
-    dealt = rows.select("vec_id", "x", F.size("x").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // block)))).alias("block"))
+    dealt = rows.select("vec_id", "x", F.size("x").alias("dim"), F.pmod(F.xxhash64("vec_id", "x"), F.lit(max(1, -(-n // block)))).alias("block"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids = table.column("vec_id").to_numpy().astype("<i8")
@@ -82,7 +82,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     shards = max(1, -(-candidates.count() // SHARD))
     blocks = stage(_pack(queries, BLOCK), f"{folder}/blocks")
     none, binary = F.lit(None).cast("array<double>"), F.lit(None).cast("binary")
-    a = candidates.select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), F.size("x").alias("dim"), "vec_id", "x", binary.alias("ids"), binary.alias("data"))
+    a = candidates.select(F.pmod(F.xxhash64("vec_id", "x", F.lit(1)), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), F.size("x").alias("dim"), "vec_id", "x", binary.alias("ids"), binary.alias("data"))
     b = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("kind"), "dim", F.lit(None).cast("long").alias("vec_id"), none.alias("x"), "ids", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

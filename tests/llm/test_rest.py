@@ -11,7 +11,7 @@ import pytest
 from cases import COLUMNS, ODD
 from conftest import SMALL
 
-from gridloom.llm import mixing, pii, quality, topk, warc
+from gridloom.llm import mixing, pii, quality, shared, topk, warc
 from gridloom.llm.registry import ORACLES, QUERIES
 from gridloom.llm.shared import before, documents, join_skewed, workspace
 
@@ -48,6 +48,29 @@ def test_topk_odd_vectors(spark):
     assert topk.top_k(df.where("vec_id = 6"), df, 2).count() == 0 and topk.top_k(df.limit(0), df.limit(0), 2).count() == 0
 
 
+def test_topk_over_shards_blocks_and_tiles(spark, monkeypatch):
+    for name, n in (("SHARD", 7), ("BLOCK", 3), ("TILE", 4), ("FAN", 2)):
+        monkeypatch.setattr(topk, name, n)
+    rng = random.Random(4)
+    rows = [(rng.randrange(60), [float(rng.randint(-3, 3)) for _ in range(3)]) for _ in range(120)] + [(7, [1.0, 2.0, 3.0])] * 20
+    df = spark.createDataFrame(rows, "vec_id long, x array<double>").repartition(3)
+    got = Counter(tuple(r) for r in topk.top_k(df.where("vec_id % 5 = 0"), df, 4).collect())
+    want = Counter()
+    for q in {i for i, _ in rows if i % 5 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), j) for i, x in rows if i == q for j, y in rows if j != q)
+        want.update((q, rank, j, int(-s)) for rank, (s, j) in enumerate(scores[:4], 1))
+    assert got == want
+
+
+def test_small_join_beyond_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 2)
+    left = spark.createDataFrame([("hot", i) for i in range(500)] + [("b", 1), (None, 2), ("none", 3)], "k string, i int")
+    small = spark.createDataFrame([("hot", 1), ("b", 2), ("c", 3), ("d", 4)], "k string, v int")
+    for how in ("left", "inner"):
+        got = Counter((r.k, r.v) for r in shared.join_small(left, small, ["k"], how).collect())
+        assert got == {("hot", 1): 500, ("b", 2): 1} | ({(None, None): 1, ("none", None): 1} if how == "left" else {})
+
+
 def test_topk_exact_beyond_floats():
     a, b = np.array([[2.0**40, 1.0]]), np.array([[2.0**20, 1.0], [2.0**30, 3.0]])
     assert topk.products(a, b).tolist() == [[2**60 + 1, (1 << 63) - 1]]
