@@ -135,7 +135,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it: once for each pass that takes most of its words.
 
-    Rows are written as scheduled: by ranges of the slot where a pass begins to take them, sorted in each. Rows that
+    Each partition has its rows in the order of the slots where a pass begins to take them. Documents are dealt to partitions by
+    hash, so each partition is a sample that follows the schedule, and texts are shuffled once only. Rows that
     repeat doc_id, source and text are all taken by a pass that takes at least half of them. Blank texts are in no pass.
     """
     folder = workspace(docs.sparkSession, "mixing")
@@ -147,7 +148,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     taken = taken.select("_id", "_key", "_hash", F.transform(F.filter("epochs", lambda e: e["in"]), lambda e: e.slot).alias("_slots")).where(F.size("_slots") > 0)
     keyed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), text_key("source").alias("_key"), F.xxhash64("text").alias("_hash"))
     each = keyed.join(taken, ["_id", "_key", "_hash"]).select("_row", F.explode("_slots").alias("_slot"))
-    return each.repartitionByRange("_slot").sortWithinPartitions("_slot").select("_row.*")
+    return each.sortWithinPartitions("_slot").select("_row.*")
 
 
 #: The closed form of what the schedule takes: passes over each source's shuffled stream up to its target.
