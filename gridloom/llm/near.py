@@ -35,8 +35,8 @@ SIMILAR = (4, 5)
 #: 64-bit words of a fingerprint; bits of a piece, and the radius that its masks cover.
 WORDS, PIECE, RADIUS = 16, 32, 2
 
-#: Words by which pairs are screened, and bits of them that may differ: five deviations above a pair of the least similarity.
-SCREEN, FAR = 2, 40
+#: Words by which pairs are screened, and bits of them that may differ: four deviations above a pair of the least similarity.
+SCREEN, FAR = 2, 36
 
 #: Sets of a bucket that are held before they are reduced to those far from each other; parts of a hot bucket.
 BUCKET, SALTS = 1 << 16, 256
@@ -44,8 +44,8 @@ BUCKET, SALTS = 1 << 16, 256
 #: Sets verified against one copy of another.
 CHUNK = 64
 
-#: Pairs by which a set asks for others in the second round; each later round has four times as many.
-NEAREST = 16
+#: Pairs of a bucket by which a set asks for others in the second round; each later round has eight times as many.
+NEAREST = 4
 
 _XOR = np.random.default_rng(20).integers(0, 1 << 64, WORDS, dtype=np.uint64)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -343,7 +343,7 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
         open_ = _members(some.select("id", "size", "words").join(labels, "id"))
         several = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
         asked = stage(_later(open_.join(several, "key"), most), f"{folder}/asked-{n}")
-        n, most = n + 1, 4 * most
+        n, most = n + 1, 8 * most
         found = stage(asked.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
         more = asked.where("more").limit(1).count() > 0
         if found.limit(1).count() == 0 and not more:
