@@ -34,7 +34,7 @@ from .shared import HOT_SHARE, documents, drop, join_skewed, small_batches, stag
 WINDOW, GRAM = 200, 80
 
 #: Runs and bytes of a class that are sorted together; bytes of several classes' runs in one suffix array; positions handled at a time.
-CLASS_RUNS, CLASS_BYTES, ARRAY_BYTES, SEGMENT = 4096, 1 << 22, 1 << 22, 1 << 20
+CLASS_RUNS, CLASS_BYTES, ARRAY_BYTES, SEGMENT = 4096, 1 << 23, 1 << 22, 1 << 20
 
 #: One in so many texts is looked at to find hot classes.
 SAMPLE = 64
@@ -230,13 +230,17 @@ def _batch(kinds: dict[str, pa.DataType], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in kinds.items()], names=list(kinds))
 
 
-def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _find_runs(batches: Iterator[pa.RecordBatch], hot: tuple[int, ...] = (), only: bool = False) -> Iterator[pa.RecordBatch]:
+    """The runs of all classes but these, or of these only."""
     names = ["t1", "t2", "low", "high", "class", "content", "content2", "own"]
     for batch in batches:
         found: list[tuple[np.ndarray, ...]] = []
         size = 0
         for t1, t2, text in zip(batch.column("t1").to_numpy(), batch.column("t2").to_numpy(), batch.column("raw"), strict=True):
             parts = runs(_raw(text))
+            if hot:
+                wanted = np.isin(parts[2], hot, invert=not only)
+                parts = tuple(c[wanted] for c in parts)
             n = len(parts[0])
             found.append((np.full(n, t1), np.full(n, t2), *parts))
             size += n
@@ -339,14 +343,13 @@ def merged(marks: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _judged(texts: DataFrame) -> DataFrame:
+def _judged(texts: DataFrame, folder: str) -> DataFrame:
     """(t1, t2, low, high, class, whole, sorted, hot) of the runs that may repeat.
 
     whole: the run's bytes stand elsewhere too; sorted: it is to be sorted with its class, as one of equal runs at most;
     hot: the class is too large to be sorted.
     """
     schema = "t1 long, t2 long, low long, high long, class long, content long, content2 long, own boolean"
-    found = texts.mapInArrow(_find_runs, schema)
     size, content = F.sum(F.col("high") - F.col("low") + WINDOW), F.struct("content", "content2")
     of = ["class", "content", "content2"]
 
@@ -360,12 +363,12 @@ def _judged(texts: DataFrame) -> DataFrame:
     hot = [r["class"] for r in seen.where(F.col("count") > bound // SAMPLE).collect()]  # at most HOT_SHARE
 
     of_class, of_content = Window.partitionBy("class"), Window.partitionBy(*of)
-    cold = found.where(~F.col("class").isin(hot)) if hot else found
+    cold = texts.mapInArrow(lambda batches: _find_runs(batches, tuple(hot)), schema)
     cold = cold.withColumns({"n_class": F.count("*").over(of_class), "size": size.over(of_class), "least": F.min(content).over(of_class), "most": F.max(content).over(of_class)}).where("n_class > 1 or own")
     cold = told(cold.withColumns({"n": F.count("*").over(of_content), "first": F.row_number().over(of_content.orderBy("t1", "t2", "low")) == 1}))
     if not hot:
         return cold
-    rows = found.where(F.col("class").isin(hot))
+    rows = stage(texts.mapInArrow(lambda batches: _find_runs(batches, tuple(hot), only=True), schema), f"{folder}/hot")
     place = F.struct("t1", "t2", "low")
     classes = rows.groupBy("class").agg(F.count("*").alias("n_class"), size.alias("size"), F.min(content).alias("least"), F.max(content).alias("most"))
     runs_ = rows.groupBy(*of).agg(F.count("*").alias("n"), F.min(place).alias("place")).withColumn("key", F.concat_ws(",", *of)).drop(*of)
@@ -392,17 +395,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     once.repartition(parts, "t1", "t2").write.bucketBy(parts, "t1", "t2").option("path", f"{folder}/texts").option("compression", "zstd").saveAsTable(table)
     texts = spark.table(table)
 
-    judged = stage(_judged(texts.where(F.length("raw") >= WINDOW).select("t1", "t2", "raw")), f"{folder}/judged")
+    judged = stage(_judged(texts.where(F.length("raw") >= WINDOW).select("t1", "t2", "raw"), folder), f"{folder}/judged")
 
     wanted = judged.where("sorted").groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "high", "class", "hot")).alias("runs"))
     pieces = texts.select("t1", "t2", "raw").join(wanted, ["t1", "t2"]).mapInArrow(_cut_pieces, "class long, t1 long, t2 long, low long, h1 long, h2 long, piece binary")
     pieces = stage(pieces, f"{folder}/pieces")
     arrays = pieces.where("piece is not null").select("class", "t1", "t2", "low", "piece").repartition(4 * parts, "class").sortWithinPartitions("class")
     arrays = arrays.mapInArrow(_sort_pieces, "t1 long, t2 long, low long, stop long")
-    single = pieces.where("piece is null").select("t1", "t2", "low", F.concat_ws(",", "h1", "h2").alias("key"))
-    counts = stage(single.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("again", F.lit(True)), f"{folder}/windows")
-    single = join_skewed(single, counts, "key", "n", single.count(), F.xxhash64("t1", "t2", "low"))
-    single = single.where("again").select("t1", "t2", "low", (F.col("low") + WINDOW).alias("stop"))
+    single = pieces.where("piece is null").select("t1", "t2", "low", "h1", F.concat_ws(",", "h1", "h2").alias("key"))
+    bound = max(CLASS_RUNS, single.count() // HOT_SHARE)
+    common = [r.key for r in single.groupBy("key").count().where(F.col("count") > bound).collect()]  # fewer than HOT_SHARE
+    rest = (single.where(~F.col("key").isin(common)) if common else single).withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
+    single = (rest.union(single.where(F.col("key").isin(common))) if common else rest).select("t1", "t2", "low", (F.col("low") + WINDOW).alias("stop"))
     whole = judged.where("whole").select("t1", "t2", "low", (F.col("high") + WINDOW).alias("stop"))
     marks = whole.union(arrays).union(single).groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "stop")).alias("marks"))
     done = texts.join(marks, ["t1", "t2"], "left").select("t1", "t2", "raw", "copies", "marks").mapInArrow(_remove, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
