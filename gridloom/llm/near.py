@@ -9,7 +9,8 @@ A pair within RADIUS bits in some piece, so any pair within 95 of all 1024 bits,
 differ in about 155 bits, spread by chance: one in some 5000 of them meets in no table, one in 700,000 at 0.85.
 
 Connected groups are wanted, not all their pairs. So a first round links each set of a bucket to the first one near it, and
-later ones hold sets that aren't connected yet against others, nearest first, in growing numbers until no pair is left.
+later ones hold sets that aren't connected yet against others, nearest first, in growing numbers until no pair is left. Those
+rounds screen by the whole fingerprint, and a pair is asked for in the first table only in which it meets.
 """
 
 from __future__ import annotations
@@ -38,6 +39,10 @@ WORDS, PIECE, RADIUS = 16, 32, 2
 #: Words by which pairs are screened, and bits of them that may differ: four deviations above a pair of the least similarity.
 SCREEN, FAR = 2, 36
 
+#: Bits of the whole fingerprint that may differ in later rounds: over five deviations above a pair of the least similarity.
+#: Of sets below FEW shingles more bits are ties, so more may differ.
+FAR_WHOLE, FEW, FAR_FEW = 220, 32, 256
+
 #: Sets of a bucket that are held before they are reduced to those far from each other; parts of a hot bucket.
 BUCKET, SALTS = 1 << 16, 256
 
@@ -108,11 +113,22 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text_hash", run.asNondeterministic()(F.col("text")).alias("s")).select("doc_id", "text_hash", "s.*")
 
 
-def _members(sets: DataFrame) -> DataFrame:
-    """Rows (key, id, size, label, w0, w1) of the buckets of sets (id, size, label, words): one for each table."""
+def _buckets(sets: DataFrame) -> DataFrame:
+    """Sets (words, ...) once for each table t, with the key of their bucket there."""
     each = sets.select("*", F.posexplode(F.array(*[F.lit(m).cast("long") for m in _MASKS * WORDS])).alias("t", "mask"))
     piece = F.element_at("words", F.expr(f"t div {len(_MASKS)} + 1").cast("int")).bitwiseAND(F.col("mask"))
-    return each.select(F.xxhash64("t", piece).alias("key"), "id", "size", "label", *[F.col("words")[i].alias(f"w{i}") for i in range(SCREEN)])
+    return each.withColumn("key", F.xxhash64("t", piece))
+
+
+def _members(sets: DataFrame) -> DataFrame:
+    """Rows (key, id, size, w0, w1) of the buckets of sets (id, size, words): one for each table."""
+    return _buckets(sets).select("key", "id", "size", *[F.col("words")[i].alias(f"w{i}") for i in range(SCREEN)])
+
+
+def first_table(differing: np.ndarray) -> np.ndarray:
+    """The first table in which pairs meet, of rows of WORDS words with the bits by which they differ; all of them meet in some."""
+    t, masks_ = np.arange(len(_MASKS) * WORDS), np.array(_MASKS, dtype=np.int64).view(np.uint64)
+    return (differing[:, t // len(_MASKS)] & masks_[t % len(_MASKS)] == 0).argmax(axis=1)
 
 
 _ROW = ["key", "id", "size", *[f"w{i}" for i in range(SCREEN)]]
@@ -126,8 +142,14 @@ class _Rows:
         self.key, self.id, self.size = columns[:3]
 
     @classmethod
-    def of(cls, batch: pa.RecordBatch, more: tuple[str, ...] = ()) -> _Rows:
-        return cls([batch.column(c).to_numpy().astype(np.int64) for c in (*_ROW, *more)])
+    def of(cls, batch: pa.RecordBatch) -> _Rows:
+        return cls([batch.column(c).to_numpy().astype(np.int64) for c in _ROW])
+
+    @classmethod
+    def whole(cls, batch: pa.RecordBatch) -> _Rows:
+        """Rows of ``_later``: beside key, id and size their table, their label and all their words."""
+        narrow = [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "id", "size", "t", "label")]
+        return cls([*narrow, batch.column("words").flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)])
 
     def part(self, at) -> _Rows:
         return _Rows([c[at] for c in self.columns])
@@ -135,11 +157,14 @@ class _Rows:
     def then(self, other: _Rows) -> _Rows:
         return _Rows([np.concatenate(c) for c in zip(self.columns, other.columns, strict=True)])
 
+    def fits(self, a, b) -> np.ndarray:
+        """Whether sizes allow the similarity."""
+        return SIMILAR[1] * np.minimum(self.size[a], self.size[b]) >= SIMILAR[0] * np.maximum(self.size[a], self.size[b])
+
     def far(self, a, b) -> np.ndarray:
         """Bits by which rows differ; more than all where sizes rule the similarity out."""
-        fits = SIMILAR[1] * np.minimum(self.size[a], self.size[b]) >= SIMILAR[0] * np.maximum(self.size[a], self.size[b])
         bits = sum(_differing(w[a], w[b]).astype(np.int64) for w in self.columns[3 : 3 + SCREEN])
-        return np.where(fits, bits, 64 * SCREEN + 1)
+        return np.where(self.fits(a, b), bits, 64 * SCREEN + 1)
 
 
 def first_near(rows: _Rows) -> tuple[list[np.ndarray], np.ndarray]:
@@ -205,7 +230,7 @@ def _first(sets: DataFrame, total: int) -> DataFrame:
     seen = _members(sets.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(SAMPLE)) == 0)).groupBy("key").count()
     hot = [r.key for r in seen.where(F.col("count") > most // SAMPLE).select("key").collect()]
     hot = sets.sparkSession.createDataFrame([(k,) for k in hot], "key long").withColumn("hot", F.lit(True))
-    rows = _members(sets).drop("label").join(F.broadcast(hot), "key", "left")
+    rows = _members(sets).join(F.broadcast(hot), "key", "left")
     salted = rows.where("hot").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     parts = _linked_first(salted, ["key", "salt"], leave=True)
     found = _linked_first(rows.where("hot is null").select(*_ROW).union(parts.where("other is null").select(*_ROW)), ["key"], leave=False)
@@ -213,24 +238,29 @@ def _first(sets: DataFrame, total: int) -> DataFrame:
 
 
 def _later(rows: DataFrame, most: int) -> DataFrame:
-    """(a, b, more) of pairs of different labels in buckets, at most so many for each set; more marks that pairs were left.
+    """(a, b, key, more) of pairs of different labels in buckets of rows (key, t, id, size, label, words), at most so many for each set.
 
+    A pair comes from one bucket only, the first one in which it meets; more marks the buckets in which pairs were left.
     Sets of a bucket's commonest label needn't ask, as the others ask for them.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("more", pa.bool_())])
 
-    def asked(x: _Rows) -> tuple[np.ndarray, bool]:
-        label, everyone = x.columns[-1], np.arange(len(x.id))
+    def asked(x: _Rows) -> tuple[np.ndarray, int, bool]:
+        table, label, words = x.columns[3:]
         kinds, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
         out, more = [np.zeros((2, 0), dtype=np.int64)], False
         for a in np.flatnonzero(inverse != counts.argmax()) if len(kinds) > 1 else ():
-            far = np.where(label == label[a], 64 * SCREEN + 1, x.far(a, everyone))
-            hit = np.flatnonzero(far <= FAR)
+            hit = np.flatnonzero((label != label[a]) & x.fits(a, slice(None)))
+            differing = words[hit] ^ words[a]
+            far = np.bitwise_count(differing).sum(axis=1, dtype=np.int64)
+            near = far <= np.where(np.minimum(x.size[hit], x.size[a]) < FEW, FAR_FEW, FAR_WHOLE)
+            near[near] = first_table(differing[near]) == table[a]
+            hit, far = hit[near], far[near]
             if len(hit) > most:
-                more, hit = True, hit[np.argsort(far[hit], kind="stable")[:most]]
+                more, hit = True, hit[np.argsort(far, kind="stable")[:most]]
             own = np.full(len(hit), x.id[a])
             out.append(np.stack([np.minimum(own, x.id[hit]), np.maximum(own, x.id[hit])]))
-        return np.unique(np.concatenate(out, axis=1), axis=1), more
+        return np.unique(np.concatenate(out, axis=1), axis=1), x.key[0], more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: _Rows | None = None
@@ -238,14 +268,14 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
         def solved(x: _Rows) -> pa.RecordBatch:
             cut = np.flatnonzero(np.diff(x.key)) + 1
             parts = [asked(x.part(slice(s, e))) for s, e in zip([0, *cut], [*cut, len(x.key)], strict=True)]
-            a, b = np.concatenate([p for p, _ in parts], axis=1)
-            more = np.concatenate([np.full(p.shape[1], m) for p, m in parts])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more, pa.bool_())], schema=schema)
+            a, b = np.concatenate([p for p, _, _ in parts], axis=1)
+            key, more = (np.concatenate([np.full(p[0].shape[1], p[i]) for p in parts]) for i in (1, 2))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(key), pa.array(more, pa.bool_())], schema=schema)
 
         for batch in batches:
             if not len(batch):
                 continue
-            x = _Rows.of(batch, ("label",))
+            x = _Rows.whole(batch)
             x = x if held is None else held.then(x)
             last = int(np.searchsorted(x.key, x.key[-1]))
             if last:
@@ -254,7 +284,8 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
         if held is not None:
             yield solved(held)
 
-    return rows.select(*_ROW, "label").repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, more boolean")
+    rows = rows.select("key", "t", "id", "size", "label", "words")
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, key long, more boolean")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -325,13 +356,13 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
     named = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.coalesce("text_hash", F.lit(0)).alias("text_hash"))
     distinct = each.groupBy("id").agg(F.min(named).alias("named"), F.first("size").alias("size"), F.first("words").alias("words"), F.count("*").alias("rows"))
     distinct = stage(distinct, f"{folder}/distinct")
-    found = stage(_first(distinct.withColumn("label", F.col("id")), distinct.count()), f"{folder}/pairs-1")
+    found = stage(_first(distinct, distinct.count()), f"{folder}/pairs-1")
     # only sets that are near another one in some bucket may be asked for later
     some = stage(distinct.join(found.select("a").union(found.select("b")).toDF("id").distinct(), "id", "left_semi"), f"{folder}/some")
     texts = _rows(docs).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("text_hash", F.coalesce("text_hash", F.lit(0)))
     sets = stage(_sets(texts.join(some.select("id", "named._id", "named.text_hash"), ["_id", "text_hash"]).dropDuplicates(["id"])), f"{folder}/sets")
     labels = some.select("id", F.col("id").alias("label"))
-    n, most, done, more = 1, NEAREST, None, True
+    n, most, done, more, keys = 1, NEAREST, None, True, None
     while True:
         linked = stage(_verified(found, sets), f"{folder}/linked-{n}")
         merged = _merged(labels, linked, f"{folder}/merged-{n}")
@@ -340,9 +371,12 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
         if merged is None and not more:
             break
         labels = labels if merged is None else merged
-        open_ = _members(some.select("id", "size", "words").join(labels, "id"))
-        several = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        asked = stage(_later(open_.join(several, "key"), most), f"{folder}/asked-{n}")
+        now = some.select("id", "size", "words").join(labels, "id")
+        open_ = _buckets(now.select("id", "words", "label")).select("key", "t", "id", "label")
+        if keys is None:
+            keys = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+        asked = stage(_later(open_.drop("label").join(keys, "key").join(now, "id"), most), f"{folder}/asked-{n}")
+        keys = asked.where("more").select("key").distinct()  # nothing was left in the others
         n, most = n + 1, 8 * most
         found = stage(asked.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
         more = asked.where("more").limit(1).count() > 0

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from cases import COLUMNS, ODD
 from conftest import SMALL
@@ -88,3 +89,33 @@ def test_odd_rows(spark):
     assert out.columns == df.columns and sorted((r.doc_id or -1) for r in out.collect()) == [-1, 1, 4, 5, 7, 8]
     assert near.one_of_near(df.limit(0)).count() == 0
     assert near.near_groups(df, workspace(spark, "n")).count() == len(ODD)
+
+
+def test_a_pair_is_asked_for_in_one_bucket_only(spark, monkeypatch):
+    """Texts just below the similarity meet in many tables; each pair of them is asked for once, those far below it never."""
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(500)}" for _ in range(150)]
+    texts = [" ".join(edited(rng, words, n)) for n in [2] * 10 + [6] * 25 + [16] * 25]
+    asked, stage = [], near.stage
+
+    def counted(df, path):
+        out = stage(df, path)
+        if "/asked-" in path:
+            asked.extend((r.a, r.b) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(near, "stage", counted)
+    monkeypatch.setattr(near, "NEAREST", 1 << 20)
+    assert kept(spark, texts) == set(brute(texts)[0])
+    assert 0 < len(asked) == len(set(asked)) < 60 * 59 // 2 // 3
+
+
+def test_first_table():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 1 << 64, (200, near.WORDS), dtype=np.uint64)
+    flips = np.packbits(rng.random((200, 64 * near.WORDS)) < 0.1, axis=1).view(np.uint64)
+    tables = [(w, np.uint64(m % (1 << 64))) for w in range(near.WORDS) for m in near._MASKS]
+    first = [next((t for t, (w, m) in enumerate(tables) if not x[w] & m), None) for x in flips]
+    met = [i for i, t in enumerate(first) if t is not None]
+    assert len(met) > 50 and max(first[i] for i in met) > 14
+    assert near.first_table(a[met] ^ (a ^ flips)[met]).tolist() == [first[i] for i in met]
