@@ -240,7 +240,8 @@ def _first(sets: DataFrame, total: int) -> DataFrame:
 def _later(rows: DataFrame, most: int) -> DataFrame:
     """(a, b, key, more) of pairs of different labels in buckets of rows (key, t, id, size, label, words), at most so many for each set.
 
-    A pair comes from one bucket only, the first one in which it meets; more marks the buckets in which pairs were left.
+    A pair comes from one bucket only, the first one in which it meets; more marks the buckets in which pairs were left,
+    which also give a row with equal ends, as their nearest pairs may all belong to other buckets.
     Sets of a bucket's commonest label needn't ask, as the others ask for them.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("more", pa.bool_())])
@@ -251,15 +252,16 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
         out, more = [np.zeros((2, 0), dtype=np.int64)], False
         for a in np.flatnonzero(inverse != counts.argmax()) if len(kinds) > 1 else ():
             hit = np.flatnonzero((label != label[a]) & x.fits(a, slice(None)))
-            differing = words[hit] ^ words[a]
-            far = np.bitwise_count(differing).sum(axis=1, dtype=np.int64)
+            far = np.bitwise_count(words[hit] ^ words[a]).sum(axis=1, dtype=np.int64)
             near = far <= np.where(np.minimum(x.size[hit], x.size[a]) < FEW, FAR_FEW, FAR_WHOLE)
-            near[near] = first_table(differing[near]) == table[a]
             hit, far = hit[near], far[near]
             if len(hit) > most:
                 more, hit = True, hit[np.argsort(far, kind="stable")[:most]]
+            hit = hit[first_table(words[hit] ^ words[a]) == table[a]]
             own = np.full(len(hit), x.id[a])
             out.append(np.stack([np.minimum(own, x.id[hit]), np.maximum(own, x.id[hit])]))
+        if more:
+            out.append(np.full((2, 1), x.id[0]))
         return np.unique(np.concatenate(out, axis=1), axis=1), x.key[0], more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,7 +380,7 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
         asked = stage(_later(open_.drop("label").join(keys, "key").join(now, "id"), most), f"{folder}/asked-{n}")
         keys = asked.where("more").select("key").distinct()  # nothing was left in the others
         n, most = n + 1, 8 * most
-        found = stage(asked.select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
+        found = stage(asked.where("a <> b").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), f"{folder}/pairs-{n}")
         more = asked.where("more").limit(1).count() > 0
         if found.limit(1).count() == 0 and not more:
             break
