@@ -8,9 +8,10 @@ Jaccard similarity of the whole sets is at least ``SIMILAR``.
 A pair within RADIUS bits in some piece, so any pair within 95 of all 1024 bits, is found for certain. Pairs at the least similarity
 differ in about 155 bits, spread by chance: one in some 5000 of them meets in no table, one in 700,000 at 0.85.
 
-Connected groups are wanted, not all their pairs. So a first round links each set of a bucket to the first one near it, and
-later ones hold sets that aren't connected yet against others, nearest first, in growing numbers until no pair is left. Those
-rounds screen by the whole fingerprint, and a pair is asked for in the first table only in which it meets.
+Connected groups are wanted, not all their pairs. So a first round holds each set of a bucket against the first one near it, the
+nearest of all buckets only, and later ones hold sets that aren't connected yet against others, nearest first, in growing numbers
+until no pair is left, those that the first round left included. Those rounds screen by the whole fingerprint and by the parity of
+the sets, which bounds their similarity from above and so loses no link, and a pair is asked for in the first table only in which it meets.
 """
 
 from __future__ import annotations
@@ -43,12 +44,18 @@ SCREEN, FAR = 2, 36
 #: Of sets below FEW shingles more bits are ties, so more may differ.
 FAR_WHOLE, FEW, FAR_FEW = 220, 32, 256
 
+#: 64-bit words of a set's parity.
+PARITY = 16
+
 #: Sets of a bucket that are held before they are reduced to those far from each other; parts of a hot bucket.
 BUCKET, SALTS = 1 << 16, 256
 
 #: Sets verified against one copy of another.
 CHUNK = 64
 
+#: Pairs of all its buckets, the nearest, that are verified of a set in the first round.
+FIRST = 2
+
 #: Pairs of a bucket by which a set asks for others in the second round; each later round has eight times as many.
 NEAREST = 4
 
@@ -89,6 +96,21 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return SIMILAR[1] * both >= SIMILAR[0] * (len(a) + len(b) - both)
 
 
+def parity(x: np.ndarray) -> np.ndarray:
+    """PARITY words of a set of hashes: a bit is 1 if an odd number of them fall on it."""
+    n = 64 * PARITY
+    return np.packbits(np.bincount((x % np.uint64(n)).astype(np.int64), minlength=n) & 1, bitorder="little").view("<u8").astype(np.uint64)
+
+
+def may_be_similar(sizes: np.ndarray, parities: np.ndarray, size: int, one: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes and parities can have the similarity of a link with another; true of all that have it.
+
+    Hashes that two sets share fall on the same bit of both, so parities differ in no more bits than the sets in hashes.
+    """
+    differing = np.bitwise_count(parities ^ one).sum(axis=1, dtype=np.int64)
+    return (SIMILAR[1] - SIMILAR[0]) * (sizes + size) >= (SIMILAR[1] + SIMILAR[0]) * differing
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(x, dtype=np.uint64).view(np.int64), pa.int64())
 
@@ -147,9 +169,10 @@ class _Rows:
 
     @classmethod
     def whole(cls, batch: pa.RecordBatch) -> _Rows:
-        """Rows of ``_later``: beside key, id and size their table, their label and all their words."""
+        """Rows of ``_later``: beside key, id and size their table, their label, all their words and their parity."""
         narrow = [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "id", "size", "t", "label")]
-        return cls([*narrow, batch.column("words").flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)])
+        wide = [batch.column(c).flatten().to_numpy().view(np.uint64).reshape(-1, n) for c, n in (("words", WORDS), ("parity", PARITY))]
+        return cls([*narrow, *wide])
 
     def part(self, at) -> _Rows:
         return _Rows([c[at] for c in self.columns])
@@ -168,31 +191,32 @@ class _Rows:
 
 
 def first_near(rows: _Rows) -> tuple[list[np.ndarray], np.ndarray]:
-    """Pairs (a, b) of ids that link each row to the first one of its bucket near it, and the places of rows that have none."""
-    rest, leaders, pairs = np.arange(len(rows.key)), [], [np.zeros((2, 0), dtype=np.int64)]
+    """Pairs (a, b, far) of ids that link each row to the first one of its bucket near it, and the places of rows that have none."""
+    rest, leaders, pairs = np.arange(len(rows.key)), [], [np.zeros((3, 0), dtype=np.int64)]
     while len(rest):
         key = rows.key[rest]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         first = np.repeat(rest[start], np.diff(np.append(start, len(rest))))
-        hit = rows.far(first, rest) <= FAR
+        far = rows.far(first, rest)
+        hit = far <= FAR
         leaders.append(rest[start])
         found = hit & (first != rest)
-        pairs.append(np.stack([rows.id[first[found]], rows.id[rest[found]]]))
+        pairs.append(np.stack([rows.id[first[found]], rows.id[rest[found]], far[found]]))
         rest = rest[~hit & (first != rest)]
     return pairs, np.sort(np.concatenate(leaders)) if leaders else rest
 
 
 def _linked_first(rows: DataFrame, by: list[str], leave: bool) -> DataFrame:
-    """Pairs (id, other) of ``first_near`` from buckets dealt by these columns, and with ``leave`` the rows without any (other null)."""
-    kind = pa.schema([*[(c, pa.int64()) for c in _ROW], ("other", pa.int64())])
+    """Pairs (id, other, far) of ``first_near`` from buckets dealt by these columns, and with ``leave`` the rows without any (other, far null)."""
+    kind = pa.schema([(c, pa.int64()) for c in (*_ROW, "other", "far")])
 
     def out(pairs: list[np.ndarray], left: _Rows | None) -> pa.RecordBatch:
-        a, b = np.concatenate(pairs, axis=1)
+        a, *ends = np.concatenate(pairs, axis=1)
         n = 0 if left is None else len(left.key)
         found = [np.zeros(len(a), dtype=np.int64), a, *[np.zeros(len(a), dtype=np.int64)] * (len(_ROW) - 2)]
         columns = [np.concatenate([f, left.columns[i]]) if n else f for i, f in enumerate(found)]
-        other = pa.array(np.concatenate([b, np.zeros(n, dtype=np.int64)]), mask=np.arange(len(a) + n) >= len(a))
-        return pa.RecordBatch.from_arrays([*map(pa.array, columns), other], schema=kind)
+        ends = [pa.array(np.concatenate([e, np.zeros(n, dtype=np.int64)]), mask=np.arange(len(a) + n) >= len(a)) for e in ends]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), *ends], schema=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: _Rows | None = None
@@ -214,13 +238,13 @@ def _linked_first(rows: DataFrame, by: list[str], leave: bool) -> DataFrame:
             pairs, left = first_near(held)
             yield out(pairs, held.part(left) if leave else None)
 
-    schema = ", ".join(f"{c} long" for c in [*_ROW, "other"])
+    schema = ", ".join(f"{c} long" for c in (*_ROW, "other", "far"))
     parts = rows.select(*_ROW, *[c for c in by if c not in _ROW]).repartition(*by).sortWithinPartitions("key", *by, "id")
     return parts.select(*_ROW).mapInArrow(run, schema)
 
 
 def _first(sets: DataFrame, total: int) -> DataFrame:
-    """Pairs (a, b) that link sets to the first near one of a bucket.
+    """Pairs (a, b, far) that link each set b to the first near one of a bucket: at most one for each table.
 
     Keys that a sample shows to be hot are reduced part by part before they meet. The sample only chooses that way; at most
     SAMPLE * HOT_SHARE keys can be above the bound, as each takes one in so many of all rows.
@@ -234,11 +258,11 @@ def _first(sets: DataFrame, total: int) -> DataFrame:
     salted = rows.where("hot").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     parts = _linked_first(salted, ["key", "salt"], leave=True)
     found = _linked_first(rows.where("hot is null").select(*_ROW).union(parts.where("other is null").select(*_ROW)), ["key"], leave=False)
-    return found.select("id", "other").union(parts.where("other is not null").select("id", "other")).toDF("a", "b").distinct()
+    return found.select("id", "other", "far").union(parts.where("other is not null").select("id", "other", "far")).toDF("a", "b", "far").distinct()
 
 
 def _later(rows: DataFrame, most: int) -> DataFrame:
-    """(a, b, key, more) of pairs of different labels in buckets of rows (key, t, id, size, label, words), at most so many for each set.
+    """(a, b, key, more) of pairs of different labels in buckets of rows (key, t, id, size, label, words, parity), at most so many for each set.
 
     A pair comes from one bucket only, the first one in which it meets; more marks the buckets in which pairs were left,
     which also give a row with equal ends, as their nearest pairs may all belong to other buckets.
@@ -247,7 +271,7 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("more", pa.bool_())])
 
     def asked(x: _Rows) -> tuple[np.ndarray, int, bool]:
-        table, label, words = x.columns[3:]
+        table, label, words, parities = x.columns[3:]
         kinds, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
         out, more = [np.zeros((2, 0), dtype=np.int64)], False
         for a in np.flatnonzero(inverse != counts.argmax()) if len(kinds) > 1 else ():
@@ -255,6 +279,8 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
             far = np.bitwise_count(words[hit] ^ words[a]).sum(axis=1, dtype=np.int64)
             near = far <= np.where(np.minimum(x.size[hit], x.size[a]) < FEW, FAR_FEW, FAR_WHOLE)
             hit, far = hit[near], far[near]
+            near = may_be_similar(x.size[hit], parities[hit], x.size[a], parities[a])
+            hit, far = hit[near], far[near]
             if len(hit) > most:
                 more, hit = True, hit[np.argsort(far, kind="stable")[:most]]
             hit = hit[first_table(words[hit] ^ words[a]) == table[a]]
@@ -286,7 +312,7 @@ def _later(rows: DataFrame, most: int) -> DataFrame:
         if held is not None:
             yield solved(held)
 
-    rows = rows.select("key", "t", "id", "size", "label", "words")
+    rows = rows.select("key", "t", "id", "size", "label", "words", "parity")
     return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, key long, more boolean")
 
 
@@ -294,9 +320,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) of those pairs whose sets (id, set) are similar; a set with many pairs is sent in copies, one for each CHUNK."""
     held = pairs.groupBy("a").agg(F.count("*").alias("n"))
     parts = pairs.join(held, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK)))
-    others = parts.select("a", "part", F.col("b").alias("id")).join(sets, "id")
-    ones = parts.select("a", "part").distinct().withColumn("id", F.col("a")).join(sets, "id")
-    rows = ones.select("a", "part", F.lit(0).alias("o"), "id", "set").union(others.select("a", "part", F.lit(1), "id", "set"))
+    ends = F.array(F.struct(F.lit(0).alias("o"), F.col("a").alias("id")), F.struct(F.lit(1).alias("o"), F.col("b").alias("id")))
+    rows = parts.select("a", "part", F.inline(ends)).distinct().join(sets.select("id", "set"), "id").select("a", "part", "o", "id", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = np.zeros(0, dtype=np.uint64)
@@ -315,16 +340,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """(id, set) of rows (id, text)."""
+    """(id, size, words, parity, set) of rows (id, size, words, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 500) for b in batches for i in range(0, len(b), 500)):
             all_ = [shingles(t.as_py()) for t in batch.column("text")]
-            ends = np.cumsum([0, *map(len, all_)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate([np.zeros(0, dtype=np.uint64), *all_])))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "set"])
+            lists = []
+            for values in ([parity(x) for x in all_], all_):
+                ends = np.cumsum([0, *map(len, values)])
+                lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate([np.zeros(0, dtype=np.uint64), *values]))))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "size", "words")], *lists], names=["id", "size", "words", "parity", "set"])
 
-    return rows.select("id", "text").mapInArrow(run, "id long, set array<long>")
+    return rows.select("id", "size", "words", "text").mapInArrow(run, "id long, size int, words array<long>, parity array<long>, set array<long>")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -358,11 +385,14 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
     named = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.coalesce("text_hash", F.lit(0)).alias("text_hash"))
     distinct = each.groupBy("id").agg(F.min(named).alias("named"), F.first("size").alias("size"), F.first("words").alias("words"), F.count("*").alias("rows"))
     distinct = stage(distinct, f"{folder}/distinct")
-    found = stage(_first(distinct, distinct.count()), f"{folder}/pairs-1")
+    met = stage(_first(distinct, distinct.count()), f"{folder}/met")
     # only sets that are near another one in some bucket may be asked for later
-    some = stage(distinct.join(found.select("a").union(found.select("b")).toDF("id").distinct(), "id", "left_semi"), f"{folder}/some")
+    some = stage(distinct.join(met.select("a").union(met.select("b")).toDF("id").distinct(), "id", "left_semi"), f"{folder}/some")
     texts = _rows(docs).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("text_hash", F.coalesce("text_hash", F.lit(0)))
-    sets = stage(_sets(texts.join(some.select("id", "named._id", "named.text_hash"), ["_id", "text_hash"]).dropDuplicates(["id"])), f"{folder}/sets")
+    known = some.select("id", "size", "words", "named._id", "named.text_hash")
+    sets = stage(_sets(texts.join(known, ["_id", "text_hash"]).dropDuplicates(["id"])), f"{folder}/sets")
+    nearest = Window.partitionBy("b").orderBy("far", "a")  # a set is in one row for each table at most
+    found = stage(met.withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= FIRST).select("a", "b"), f"{folder}/pairs-1")
     labels = some.select("id", F.col("id").alias("label"))
     n, most, done, more, keys = 1, NEAREST, None, True, None
     while True:
@@ -373,7 +403,7 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
         if merged is None and not more:
             break
         labels = labels if merged is None else merged
-        now = some.select("id", "size", "words").join(labels, "id")
+        now = sets.select("id", "size", "words", "parity").join(labels, "id")
         open_ = _buckets(now.select("id", "words", "label")).select("key", "t", "id", "label")
         if keys is None:
             keys = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
@@ -388,7 +418,7 @@ def near_groups(docs: DataFrame, folder: str) -> DataFrame:
     names = stage(names.select(F.col("id").cast("string").alias("key"), F.coalesce("label", "id").alias("label"), "rows"), f"{folder}/names")
     out = join_skewed(each.select("doc_id", "text_hash", F.col("id").cast("string").alias("key"), "id"), names, "key", "rows", total, F.monotonically_increasing_id())
     out = stage(out.select("doc_id", "text_hash", "label"), f"{folder}/groups")
-    for part in ("each", "distinct", "some", "sets", "names", *(f"{p}-{i}" for p in ("pairs", "linked", "asked", "merged") for i in range(1, n + 1))):
+    for part in ("each", "distinct", "met", "some", "sets", "names", *(f"{p}-{i}" for p in ("pairs", "linked", "asked", "merged") for i in range(1, n + 1))):
         drop(docs.sparkSession, f"{folder}/{part}")
     return out
 

@@ -119,3 +119,48 @@ def test_first_table():
     met = [i for i, t in enumerate(first) if t is not None]
     assert len(met) > 50 and max(first[i] for i in met) > 14
     assert near.first_table(a[met] ^ (a ^ flips)[met]).tolist() == [first[i] for i in met]
+
+
+def test_pairs_below_the_similarity_are_told_without_verifying_them(spark, monkeypatch):
+    """In a group of texts that are all near each other, verified pairs grow with the texts and not with their square."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(500)}" for _ in range(150)]
+    texts = [" ".join(edited(rng, words, 3)) for _ in range(100)]
+    want, pairs = brute(texts)
+    assert len(set(want)) > 60
+    verified, true = [], near._verified
+
+    def counted(pairs, sets):
+        verified.extend((r.a, r.b) for r in pairs.collect())
+        return true(pairs, sets)
+
+    monkeypatch.setattr(near, "_verified", counted)
+    assert kept(spark, texts) == set(want)
+    assert len({frozenset(p) for p in verified}) == len(verified) < pairs + 10 * len(texts)
+
+
+def test_pairs_left_by_the_first_round_are_found_later(spark, monkeypatch):
+    """A first round of one pair a set, in which sets of one piece's bucket rarely are the nearest of all."""
+    monkeypatch.setattr(near, "FIRST", 1)
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(500)}" for _ in range(150)]
+    texts, now = [], words
+    for i in range(80):
+        now = edited(rng, now if i % 4 else words, 2)
+        texts.append(" ".join(now))
+    assert kept(spark, texts) == set(brute(texts)[0])
+
+
+def test_parity_loses_no_similar_pair():
+    rng = np.random.default_rng(9)
+    told = []
+    for size in (1, 5, 9, 40, 150, 600, 3000):
+        for differing in np.linspace(0, size // 2, 20).astype(int):
+            x = np.unique(rng.integers(0, 1 << 64, size + int(differing), dtype=np.uint64))
+            a, b = np.sort(rng.permutation(x)[:size]), np.sort(rng.permutation(x)[-size:])
+            may = near.may_be_similar(np.array([len(a)]), near.parity(a)[None], len(b), near.parity(b))[0]
+            assert may or not near.similar(a, b)
+            both = len(np.intersect1d(a, b))
+            if size == 150 and 4 * both < 3 * (2 * size - both):
+                told.append(bool(may))
+    assert told and not any(told) and near.parity(np.zeros(0, dtype=np.uint64)).tolist() == [0] * near.PARITY
